@@ -113,8 +113,17 @@ def users(elements: DataFrame) -> DataFrame:
     )
 
 
+def carts(elements: DataFrame) -> DataFrame:
+    """One row per cart, with or without items; the day is null where unreadable."""
+    return _parsed(elements).select(
+        _get("$.id", "bigint").alias("order_id"),
+        _get("$.userId", "bigint").alias("customer_id"),
+        clean.day(_get("$.date")).alias("day"),
+    )
+
+
 def cart_days(elements: DataFrame) -> DataFrame:
-    return _parsed(elements).select(clean.day(_get("$.date")).alias("day"))
+    return carts(elements).select("day")
 
 
 def cart_lines(elements: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartmill.functions import clean
 from cartmill.sources.bronze import FEED_ORDER
 
 ITEMS_PER_CART = 1000
@@ -50,10 +49,6 @@ def _country(key: Column) -> Column:
     return F.lpad(key.cast("string"), 2, "0")
 
 
-def _iso_midnight(timestamp: Column) -> Column:
-    return F.concat(timestamp.cast("date").cast("string"), F.lit("T00:00:00.000Z"))
-
-
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
@@ -73,7 +68,8 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, folder: str) -> Feed:
-    """Extracted records straight from the columns, without a JSON detour."""
+    """Extracted records straight from the columns, without a JSON detour: values that
+    are typed already stay so."""
     part = table(spark, folder, "part")
     orders = table(spark, folder, "orders")
     lineitem = table(spark, folder, "lineitem")
@@ -85,13 +81,11 @@ def feed(spark: SparkSession, folder: str) -> Feed:
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("title"),
         F.concat(F.lit("  "), "p_type", F.lit(" ")).alias("category"),
-        F.col("p_retailprice").cast("string").alias("price"),
-        (F.col("p_size") / 10).cast("string").alias("rating_rate"),
-        (F.col("p_size") * 10).cast("string").alias("rating_count"),
-    )
-    carts = orders.select(
-        "o_orderkey", "o_custkey", clean.day(_iso_midnight(F.col("o_orderdate"))).alias("day")
+        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        (F.col("p_size") / 10).cast("decimal(3,2)").alias("rating_rate"),
+        (F.col("p_size") * 10).alias("rating_count"),
     )
+    carts = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
     lines = lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(
         carts.where("day is not null"), F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -228,23 +222,44 @@ def cart_elements(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
     )
 
 
-def user_elements(spark: SparkSession, folder: str) -> DataFrame:
+def user_elements(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
+    """Faults: absent keys and parents, explicit nulls, empty and non-numeric positions."""
+
+    def given(column: str) -> Column:
+        return _quoted(F.col(column))
+
+    last, email, lat = given("last_name"), given("email"), given("lat")
+    if faulty:
+        last = F.when(~_every("id", 11), last)
+        email = F.when(_every("id", 7), F.lit("null")).otherwise(email)
+        lat = (
+            F.when(_every("id", 13), F.lit('""'))
+            .when(_every("id", 17), F.lit("null"))
+            .when(_every("id", 19), F.lit(None))
+            .when(_every("id", 23), F.lit('"abc"'))
+            .otherwise(lat)
+        )
+    name = F.concat(F.lit('{"firstname":'), given("first_name"), _member("lastname", last), F.lit("}"))
+    place = F.concat(F.lit('{"long":'), given("lon"), _member("lat", lat), F.lit("}"))
+    address = F.concat(
+        F.lit('{"city":'),
+        given("city"),
+        _member("zipcode", given("zipcode")),
+        _member("country", given("country_code")),
+        _member("geolocation", place),
+        F.lit("}"),
+    )
+    if faulty:
+        address = F.when(_every("id", 5), F.lit(None)).when(_every("id", 29), F.lit("null")).otherwise(address)
     return _customers(spark, folder).select(
         *FEED_ORDER,
-        F.to_json(
-            F.struct(
-                "id",
-                "email",
-                F.struct(
-                    F.col("first_name").alias("firstname"), F.col("last_name").alias("lastname")
-                ).alias("name"),
-                F.struct(
-                    "city",
-                    "zipcode",
-                    F.col("country_code").alias("country"),
-                    F.struct("lat", F.col("lon").alias("long")).alias("geolocation"),
-                ).alias("address"),
-            )
+        F.concat(
+            F.lit('{"id":'),
+            F.col("id").cast("string"),
+            _member("email", email),
+            _member("name", name),
+            _member("address", address),
+            F.lit("}"),
         ).alias("body"),
     )
 
@@ -288,7 +303,7 @@ def elements(spark: SparkSession, folder: str, faulty: bool = False) -> dict[str
     return {
         "products": product_elements(spark, folder, faulty),
         "carts": cart_elements(spark, folder, faulty),
-        "users": user_elements(spark, folder),
+        "users": user_elements(spark, folder, faulty),
         "countries": country_elements(spark, folder),
         "fx_rates": fx_document(spark, folder),
     }
