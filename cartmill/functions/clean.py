@@ -63,20 +63,19 @@ def date_key(date: Column) -> Column:
     return (F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("int")
 
 
-def calendar(date: Column) -> list[Column]:
-    """Calendar attributes of one day; weeks start on Monday, which is 0."""
-    weekday = F.weekday(date)
+def calendar(date: str) -> list[str]:
+    """Calendar attributes of a date column as SQL; weeks start on Monday, which is 0."""
     return [
-        date_key(date).alias("date_id"),
-        date.alias("full_date"),
-        F.year(date).alias("year"),
-        F.quarter(date).alias("quarter"),
-        F.month(date).alias("month"),
-        F.date_format(date, "MMMM").alias("month_name"),
-        F.dayofmonth(date).alias("day"),
-        weekday.alias("weekday_num"),
-        F.date_format(date, "EEEE").alias("weekday_name"),
-        weekday.isin(5, 6).alias("is_weekend"),
+        f"year({date}) * 10000 + month({date}) * 100 + day({date}) AS date_id",
+        f"{date} AS full_date",
+        f"year({date}) AS year",
+        f"quarter({date}) AS quarter",
+        f"month({date}) AS month",
+        f"date_format({date}, 'MMMM') AS month_name",
+        f"day({date}) AS day",
+        f"weekday({date}) AS weekday_num",
+        f"date_format({date}, 'EEEE') AS weekday_name",
+        f"weekday({date}) IN (5, 6) AS is_weekend",
     ]
 
 

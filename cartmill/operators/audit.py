@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartmill.schemas import TABLES, Table
 
-Star = dict[str, DataFrame]
+Star = Mapping[str, DataFrame]
 
 
 def duplicate_keys(rows: DataFrame, table: Table) -> DataFrame:

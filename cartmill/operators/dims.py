@@ -42,8 +42,7 @@ def dim_customer(records: DataFrame) -> DataFrame:
 
 def dim_date(cart_days: DataFrame) -> DataFrame:
     """Distinct days first, calendar attributes on those few rows only."""
-    days = cart_days.distinct().where(F.col("day").isNotNull())
-    return days.select(*clean.calendar(F.col("day")))
+    return cart_days.distinct().where("day IS NOT NULL").selectExpr(*clean.calendar("day"))
 
 
 def dim_currency(rates: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmill.operators.facts import lookup
-from cartmill.operators.reports import USD
+from cartmill.operators.reports import USD, Star
 
 
 def customer_country(customers: DataFrame, countries: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def _cents(value: Column) -> Column:
     return F.round(value, 2).try_cast(USD)
 
 
-def orders_by_country(star: dict[str, DataFrame], customers: DataFrame) -> DataFrame:
+def orders_by_country(star: Star, customers: DataFrame) -> DataFrame:
     """Orders, units and revenue per country; `customers` carries country and region."""
     lines = star["fact_orders"].select("order_id", "customer_id", "quantity", "total_usd")
     return (

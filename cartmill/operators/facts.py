@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmill.functions import clean
@@ -14,8 +14,9 @@ from cartmill.sources.bronze import FEED_ORDER
 def last_per_key(rows: DataFrame, key: str, order: Sequence[str] = FEED_ORDER) -> DataFrame:
     """The last row of each key. Spark cuts each partition to one row per key before the
     shuffle, so a key repeated many times moves only one row per partition."""
-    latest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
-    return rows.withColumn("_nth", F.row_number().over(latest)).where("_nth = 1").drop("_nth")
+    latest = ", ".join(f"{column} DESC" for column in order)
+    nth = f"row_number() OVER (PARTITION BY {key} ORDER BY {latest}) AS _nth"
+    return rows.selectExpr("*", nth).where("_nth = 1").drop("_nth")
 
 
 def lookup(

@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartmill.operators.facts import last_per_key
 from cartmill.schemas import FACT_ORDERS, LOAD_ORDER, TABLES, Table
@@ -25,65 +26,68 @@ REJECT_SCHEMA = "reasons array<string>, source_row string"
 
 @dataclass(frozen=True)
 class _Field:
-    """One target column and what the source has for it."""
-
-    spec: Spec
-    source: Column | None  # None: the source has no such column
-    value: Column
-    faults: tuple[tuple[str, Column], ...]  # reason, condition that is never null
+    """One target column, as SQL over the source's columns."""
+
+    name: str
+    value: str
+    fits: tuple[str, ...]  # all true for a good row
+    faults: tuple[tuple[str, str], ...]  # reason, condition; what `fits` rules out
+
+
+def _field(spec: Spec, names: dict[str, str], types: dict[str, T.DataType]) -> _Field:
+    kind = spec.storage_type.simpleString()
+    needed = spec.required or spec.always_read
+    if spec.name not in names:
+        value = f"CAST({spec.default or 'NULL'} AS {kind})"
+        if not spec.required or spec.default:
+            return _Field(spec.name, value, (), ())
+        return _Field(spec.name, value, ("false",), ((f"{spec.name}: no such column", "true"),))
+    source = f"`{names[spec.name]}`"
+    same = types[spec.name] == spec.storage_type
+    value = source if same else f"try_cast({source} AS {kind})"
+    fits, faults = [], []
+    if needed:
+        # One test for both a missing and an unfit value: Spark computes it for every row.
+        fits.append(f"{value} IS NOT NULL")
+        faults.append((f"{spec.name}: missing", f"{source} IS NULL"))
+    elif not same:
+        fits.append(f"({source} IS NULL OR {value} IS NOT NULL)")
+    if not same:
+        faults.append((f"{spec.name}: not {kind}", f"{source} IS NOT NULL AND {value} IS NULL"))
+    if spec.max_length:
+        short = f"char_length({value}) <= {spec.max_length}"
+        fits.append(short if needed else f"({value} IS NULL OR {short})")
+        long = f"char_length({value}) > {spec.max_length}"
+        faults.append((f"{spec.name}: longer than {spec.max_length}", long))
+    return _Field(spec.name, value, tuple(fits), tuple(faults))
 
 
 def _fields(rows: DataFrame, table: Table) -> list[_Field]:
-    names = {name.lower(): name for name in rows.columns}
+    """Columns are matched by name in any case; the rest of the source is ignored."""
+    names = {f.name.lower(): f.name for f in rows.schema.fields}
     types = {f.name.lower(): f.dataType for f in rows.schema.fields}
-    fields = []
-    for spec in table.fed_columns:
-        kind = spec.storage_type
-        if spec.name not in names:
-            value = F.expr(spec.default) if spec.default else F.lit(None)
-            value = value.cast(kind)
-            missing = spec.required and not spec.default
-            faults = ((f"{spec.name}: no such column", F.lit(True)),) if missing else ()
-            fields.append(_Field(spec, None, value, faults))
-            continue
-        source = F.col(f"`{names[spec.name]}`")
-        same = types[spec.name] == kind
-        value = source if same else source.try_cast(kind)
-        faults = []
-        if spec.required or spec.always_read:
-            faults.append((f"{spec.name}: missing", source.isNull()))
-        if not same:
-            unfit = source.isNotNull() & value.isNull()
-            faults.append((f"{spec.name}: not {kind.simpleString()}", unfit))
-        if spec.max_length:
-            long = value.isNotNull() & (F.char_length(value) > spec.max_length)
-            faults.append((f"{spec.name}: longer than {spec.max_length}", F.coalesce(long, F.lit(False))))
-        fields.append(_Field(spec, source, value, tuple(faults)))
-    return fields
-
-
-def _faulty(fields: list[_Field]) -> Column:
-    condition = F.lit(False)
-    for f in fields:
-        for _, fault in f.faults:
-            condition = condition | fault
-    return condition
+    return [_field(spec, names, types) for spec in table.fed_columns]
+
+
+def _good(fields: list[_Field]) -> str:
+    return " AND ".join(test for f in fields for test in f.fits) or "true"
 
 
 def accepted(rows: DataFrame, table: Table, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that fit, in target types and order; other source columns are ignored
-    unless named in `keep`."""
+    """Rows that fit, in target types and order, and the source columns in `keep`."""
     fields = _fields(rows, table)
-    return rows.where(~_faulty(fields)).select(*[f.value.alias(f.spec.name) for f in fields], *keep)
+    targets = [f"{f.value} AS {f.name}" for f in fields]
+    return rows.where(_good(fields)).selectExpr(*targets, *keep)
 
 
 def rejected(rows: DataFrame, table: Table) -> DataFrame:
     """Rows that do not fit, with every reason and the source row as JSON."""
     fields = _fields(rows, table)
-    reasons = [F.when(fault, F.lit(reason)) for f in fields for reason, fault in f.faults]
-    return rows.where(_faulty(fields)).select(
-        F.array_compact(F.array(*reasons)).alias("reasons"),
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("source_row"),
+    reasons = ", ".join(
+        f"CASE WHEN {fault} THEN '{reason}' END" for f in fields for reason, fault in f.faults
+    )
+    return rows.where(f"NOT coalesce({_good(fields)}, false)").selectExpr(
+        f"array_compact(array({reasons})) AS reasons", "to_json(struct(*)) AS source_row"
     )
 
 

@@ -7,7 +7,7 @@ where a dimension is too big to send around.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from cartmill.operators import load
 from cartmill.schemas import LOAD_ORDER
 from cartmill.sources.lake import Lake
 
-Star = dict[str, DataFrame]
+Star = Mapping[str, DataFrame]
 USD = "decimal(22,2)"
 TOP = 10
 

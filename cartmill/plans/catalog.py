@@ -8,6 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartmill.frames import Frames
 from cartmill.functions import clean
 from cartmill.operators import audit, dims, enrich, facts, load, reports
 from cartmill.plans import job
@@ -31,7 +32,7 @@ def query(function: Query) -> Query:
     return tuned
 
 
-def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _star(spark: SparkSession, folder: str) -> Frames:
     return job.star(tables.feed(spark, folder))
 
 
@@ -64,7 +65,7 @@ def _faulty_elements(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {source: bronze.scan(spark, lake, source, DAY_1) for source in SOURCES}
 
 
-def _faulty_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _faulty_star(spark: SparkSession, folder: str) -> Frames:
     return job.gold(lambda name: _faulty(spark, folder, name))
 
 
@@ -116,7 +117,7 @@ def lookup_join_default(spark, folder):
         F.col("l_orderkey").alias("order_id"),
         F.when(F.col("l_partkey") % 89 == 0, -1).otherwise(F.col("l_partkey")).alias("product_id"),
     )
-    product = dims.dim_product(tables.feed(spark, folder).products)
+    product = dims.dim_product(tables.feed(spark, folder)["products"])
     prices = facts.last_per_key(product, "product_id")
     return facts.lookup(
         lines, prices, "product_id", "price_usd", F.lit(0).cast(clean.MONEY)
@@ -246,7 +247,7 @@ def bronze_lines_roundtrip(spark, folder):
 @query
 def silver_roundtrip(spark, folder):
     lake = _lake(spark)
-    silver.write(dims.dim_product(tables.feed(spark, folder).products), lake, "dim_product", DAY_1)
+    silver.write(dims.dim_product(tables.feed(spark, folder)["products"]), lake, "dim_product", DAY_1)
     stored = silver.read(spark, lake, "dim_product", DAY_1)
     return load.accepted(stored, DIM_PRODUCT)
 
@@ -290,9 +291,9 @@ def full_refresh_twice(spark, folder):
 
 def _stage_two_days(spark: SparkSession, folder: str, lake: Lake) -> None:
     """Silver facts of two run dates: faulty lines, then clean ones."""
-    product = dims.dim_product(tables.feed(spark, folder).products)
+    product = dims.dim_product(tables.feed(spark, folder)["products"])
     dirty = _faulty(spark, folder, "fact_orders")
-    clean_lines = facts.fact_orders(tables.feed(spark, folder).cart_lines, product)
+    clean_lines = facts.fact_orders(tables.feed(spark, folder)["cart_lines"], product)
     silver.write(dirty, lake, "fact_orders", DAY_1)
     silver.write(clean_lines, lake, "fact_orders", DAY_2)
 
@@ -373,7 +374,7 @@ def fact_defaults(spark, folder):
 def _loaded_fact(spark: SparkSession, folder: str) -> DataFrame:
     lake = _lake(spark)
     feed = tables.feed(spark, folder)
-    fact = facts.fact_orders(feed.cart_lines, dims.dim_product(feed.products))
+    fact = facts.fact_orders(feed["cart_lines"], dims.dim_product(feed["products"]))
     silver.write(fact, lake, "fact_orders", DAY_1)
     load.load_fact(spark, lake, DAY_1)
     return load.read_gold(spark, lake, "fact_orders")
@@ -432,7 +433,7 @@ def param_sql(spark, folder):
 # --- reports ----------------------------------------------------------------------
 
 
-def _report(name: str, report: Callable[[dict[str, DataFrame]], DataFrame]) -> None:
+def _report(name: str, report: Callable[[reports.Star], DataFrame]) -> None:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return report(_star(spark, folder))
 
@@ -449,7 +450,7 @@ def top_products_ties(spark, folder):
     """Every line worth 1, so that products tie around the tenth rank."""
     star = _star(spark, folder)
     worth_one = star["fact_orders"].withColumn("total_usd", F.lit(1).cast("decimal(12,2)"))
-    ranked = reports.top_products({**star, "fact_orders": worth_one})
+    ranked = reports.top_products(star.replaced("fact_orders", worth_one))
     return ranked.select("product_id", "revenue_usd", "revenue_rank")
 
 
@@ -462,10 +463,9 @@ def rolling_four_rows(spark, folder):
     def apart(rows: DataFrame) -> DataFrame:
         return rows.withColumn("day", F.date_add(first, F.datediff("day", first) * 14))
 
-    spread = tables.Feed(
-        feed.products, feed.users, apart(feed.cart_days), apart(feed.cart_lines), feed.fx_rates, feed.countries
-    )
-    return reports.weekly_revenue(job.star(spread))
+    for name in ("cart_days", "cart_lines"):
+        feed = feed.replaced(name, apart(feed[name]))
+    return reports.weekly_revenue(job.star(feed))
 
 
 # --- audits -----------------------------------------------------------------------
@@ -497,7 +497,7 @@ def audit_row_counts(spark, folder):
 def _countries(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.feed(spark, folder)
     return enrich.customer_country(
-        dims.dim_customer(feed.users), bronze.countries(tables.country_elements(spark, folder))
+        dims.dim_customer(feed["users"]), bronze.countries(tables.country_elements(spark, folder))
     )
 
 

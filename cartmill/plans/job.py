@@ -2,57 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartmill.frames import Frames
 from cartmill.operators import dims, enrich, facts, load, reports
-from cartmill.schemas import SOURCES, TABLES
+from cartmill.schemas import SOURCES, TABLES, Table
 from cartmill.sources import bronze, silver
 from cartmill.sources.lake import Lake
-from cartmill.sources.tables import Feed
 
 COUNTRY_COLUMNS = (
     "customer_id", "country_code", "country", "region", "subregion", "currency_code"
 )
 
 
-def extract(elements: dict[str, DataFrame]) -> Feed:
+def extract(elements: Mapping[str, DataFrame]) -> Frames:
     """Records of all sources from their JSON elements."""
-    return Feed(
-        products=bronze.products(elements["products"]),
-        users=bronze.users(elements["users"]),
-        cart_days=bronze.cart_days(elements["carts"]),
-        cart_lines=bronze.cart_lines(elements["carts"]),
-        fx_rates=bronze.fx_rates(elements["fx_rates"]),
-        countries=bronze.countries(elements["countries"]),
+    return Frames(
+        {
+            "products": lambda: bronze.products(elements["products"]),
+            "users": lambda: bronze.users(elements["users"]),
+            "cart_days": lambda: bronze.cart_days(elements["carts"]),
+            "cart_lines": lambda: bronze.cart_lines(elements["carts"]),
+            "fx_rates": lambda: bronze.fx_rates(elements["fx_rates"]),
+            "countries": lambda: bronze.countries(elements["countries"]),
+        }
     )
 
 
-def silver_tables(feed: Feed) -> dict[str, DataFrame]:
+def silver_tables(feed: Mapping[str, DataFrame]) -> Frames:
     """The five star-schema tables and the countries, cleaned and typed."""
-    product = dims.dim_product(feed.products)
-    return {
-        "dim_product": product,
-        "dim_customer": dims.dim_customer(feed.users),
-        "dim_date": dims.dim_date(feed.cart_days),
-        "dim_currency": dims.dim_currency(feed.fx_rates),
-        "fact_orders": facts.fact_orders(feed.cart_lines, product),
-        "dim_country": feed.countries,
-    }
+    return Frames(
+        {
+            "dim_product": lambda: dims.dim_product(feed["products"]),
+            "dim_customer": lambda: dims.dim_customer(feed["users"]),
+            "dim_date": lambda: dims.dim_date(feed["cart_days"]),
+            "dim_currency": lambda: dims.dim_currency(feed["fx_rates"]),
+            "fact_orders": lambda: facts.fact_orders(
+                feed["cart_lines"], dims.dim_product(feed["products"])
+            ),
+            "dim_country": lambda: feed["countries"],
+        }
+    )
 
 
-def gold(silver_table: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+def gold(silver_table: Callable[[str], DataFrame]) -> Frames:
     """Gold rows of every table, nothing written. Columns the load assigns (line key,
     load time) are absent."""
-    return {
-        name: load.gold_rows(silver_table(name), table, silver.RECENCY.get(name, ()))
-        for name, table in TABLES.items()
-    }
+
+    def builder(table: Table) -> Callable[[], DataFrame]:
+        recency = silver.RECENCY.get(table.name, ())
+        return lambda: load.gold_rows(silver_table(table.name), table, recency)
+
+    return Frames({name: builder(table) for name, table in TABLES.items()})
 
 
-def star(feed: Feed) -> dict[str, DataFrame]:
+def star(feed: Mapping[str, DataFrame]) -> Frames:
     """Gold rows straight from a feed, as one lazy plan.
 
     Meant for typed feeds. With JSON feeds go through silver: Spark would push the load's
@@ -88,7 +95,7 @@ def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, t
         if name != "fact_orders"
     }
     product = silver.read(spark, lake, "dim_product", run_date)
-    fact = facts.fact_orders(feed.cart_lines, product)
+    fact = facts.fact_orders(feed["cart_lines"], product)
     written["fact_orders"] = silver.write(fact, lake, "fact_orders", run_date)
     return written
 

@@ -26,7 +26,7 @@ def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataF
     A document is one task's work, so large feeds should come as many documents or as
     lines (read_lines).
     """
-    docs = spark.read.option("wholetext", True).text(path).select(
+    docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc"), F.lit(0).cast("bigint").alias("block"), "value"
     )
     if not listed:

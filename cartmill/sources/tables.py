@@ -7,30 +7,41 @@ feed has (`faulty=True`), so that every lenient rule is met at full table size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartmill.frames import Frames
 from cartmill.sources.bronze import FEED_ORDER
 
 ITEMS_PER_CART = 1000
 
 
-@dataclass(frozen=True)
-class Feed:
-    """Extracted records of the sources, ready for the silver builders."""
-
-    products: DataFrame
-    users: DataFrame
-    cart_days: DataFrame
-    cart_lines: DataFrame
-    fx_rates: DataFrame
-    countries: DataFrame
+# Types of the input tables, so that opening them reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out once where the input has fewer splits than there are cores, as one
+    file with one row group has. Input of any size worth a cluster has more, and is then
+    left as it is, without a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _place(doc: str, pos: Column) -> list[Column]:
@@ -67,57 +78,68 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def feed(spark: SparkSession, folder: str) -> Feed:
+def feed(spark: SparkSession, folder: str) -> Frames:
     """Extracted records straight from the columns, without a JSON detour: values that
     are typed already stay so."""
-    part = table(spark, folder, "part")
-    orders = table(spark, folder, "orders")
-    lineitem = table(spark, folder, "lineitem")
-    nation = table(spark, folder, "nation")
-    region = table(spark, folder, "region")
 
-    products = part.select(
-        *_place("products", F.col("p_partkey")),
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("title"),
-        F.concat(F.lit("  "), "p_type", F.lit(" ")).alias("category"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-        (F.col("p_size") / 10).cast("decimal(3,2)").alias("rating_rate"),
-        (F.col("p_size") * 10).alias("rating_count"),
-    )
-    carts = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    lines = lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(
-        carts.where("day is not null"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    cart_lines = lines.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        "day",
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-    )
-    fx_rates = nation.select(
-        F.col("n_nationkey").alias("pos"),
-        _currency(F.col("n_nationkey")).alias("code"),
-        (F.col("n_nationkey") / 10).cast("string").alias("rate"),
-    )
-    countries = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-        _country(F.col("n_nationkey")).alias("country_code"),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("region"),
-        F.lit(None).cast("string").alias("subregion"),
-        _currency(F.col("n_nationkey")).alias("currency_code"),
-        F.lit(None).cast("decimal(9,6)").alias("lat"),
-        F.lit(None).cast("decimal(9,6)").alias("lon"),
-        F.lit(None).cast("bigint").alias("population"),
-    )
-    return Feed(
-        products,
-        _customers(spark, folder),
-        carts.select("day"),
-        cart_lines,
-        fx_rates,
-        countries,
+    def products() -> DataFrame:
+        return table(spark, folder, "part").select(
+            *_place("products", F.col("p_partkey")),
+            F.col("p_partkey").alias("id"),
+            F.col("p_name").alias("title"),
+            F.concat(F.lit("  "), "p_type", F.lit(" ")).alias("category"),
+            F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+            (F.col("p_size") / 10).cast("decimal(3,2)").alias("rating_rate"),
+            (F.col("p_size") * 10).alias("rating_count"),
+        )
+
+    def carts(*keys: str) -> DataFrame:
+        day = F.col("o_orderdate").cast("date").alias("day")
+        return table(spark, folder, "orders").select(*keys, day)
+
+    def cart_lines() -> DataFrame:
+        items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+        lines = spread(items).join(
+            carts("o_orderkey", "o_custkey").where("day is not null"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
+        return lines.select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            "day",
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+        )
+
+    def fx_rates() -> DataFrame:
+        return table(spark, folder, "nation").select(
+            F.col("n_nationkey").alias("pos"),
+            _currency(F.col("n_nationkey")).alias("code"),
+            (F.col("n_nationkey") / 10).cast("string").alias("rate"),
+        )
+
+    def countries() -> DataFrame:
+        nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+        return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+            _country(F.col("n_nationkey")).alias("country_code"),
+            F.col("n_name").alias("country"),
+            F.col("r_name").alias("region"),
+            F.lit(None).cast("string").alias("subregion"),
+            _currency(F.col("n_nationkey")).alias("currency_code"),
+            F.lit(None).cast("decimal(9,6)").alias("lat"),
+            F.lit(None).cast("decimal(9,6)").alias("lon"),
+            F.lit(None).cast("bigint").alias("population"),
+        )
+
+    return Frames(
+        {
+            "products": products,
+            "users": lambda: _customers(spark, folder),
+            "cart_days": carts,
+            "cart_lines": cart_lines,
+            "fx_rates": fx_rates,
+            "countries": countries,
+        }
     )
 
 

@@ -1,0 +1,82 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartmill.functions import clean
+
+
+def evaluate(spark, function, values, kind="string"):
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, x {kind}")
+    result = rows.select("i", function(F.col("x")).alias("y")).orderBy("i").collect()
+    return [r.y for r in result]
+
+
+def test_label_strips_all_whitespace_and_lowers(spark):
+    given = ["\t Men's Clothing \n", " Jewelery ", " inner  gap ", "", None]
+    assert evaluate(spark, clean.label, given) == ["men's clothing", "jewelery", "inner  gap", "", None]
+
+
+def test_money_rounds_half_up_on_the_exact_decimal(spark):
+    given = ["1.005", "109.95", "1e3", "-0.005", "x", "", None]
+    expected = [Decimal("1.01"), Decimal("109.95"), Decimal("1000.00"), Decimal("-0.01"), None, None, None]
+    assert evaluate(spark, clean.money, given) == expected
+
+
+def test_position_defaults_to_zero_only_where_empty(spark):
+    given = ["", None, "-12.5", "abc"]
+    assert evaluate(spark, clean.position, given) == [0, 0, Decimal("-12.5"), None]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2020-03-02T00:00:00.000Z", date(2020, 3, 2)),
+        ("2024-01-01T01:00:00+05:00", date(2024, 1, 1)),  # 31 December in UTC
+        ("2024-01-01T23:30:00-08:00", date(2024, 1, 1)),
+        (" \t2024-01-05\n", date(2024, 1, 5)),
+        ("2024-1-5", date(2024, 1, 5)),
+        ("20240105", date(2024, 1, 5)),
+        ("01/02/2024", date(2024, 1, 2)),
+        ("1/2/2024 10:30", date(2024, 1, 2)),
+        ("Jan 5, 2024", date(2024, 1, 5)),
+        ("5 January 2024", date(2024, 1, 5)),
+        ("2024-13-01", None),
+        ("2024-02-30", None),
+        ("2024-01-01 trailing", None),
+        ("not-a-date", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_day(spark, text, expected):
+    assert evaluate(spark, clean.day, [text]) == [expected]
+
+
+def test_calendar(spark):
+    days = spark.sql("SELECT explode(array(date'2024-12-30', date'2024-06-01', date'2024-06-02')) AS d")
+    found = {r.date_id: r for r in days.selectExpr(*clean.calendar("d")).collect()}
+    monday, saturday, sunday = found[20241230], found[20240601], found[20240602]
+    assert (monday.weekday_num, monday.weekday_name, monday.is_weekend) == (0, "Monday", False)
+    assert (saturday.weekday_num, saturday.weekday_name, saturday.is_weekend) == (5, "Saturday", True)
+    assert (sunday.weekday_num, sunday.is_weekend) == (6, True)
+    assert (monday.year, monday.quarter, monday.month, monday.month_name, monday.day) == (
+        2024, 4, 12, "December", 30,
+    )
+
+
+def test_reciprocal(spark):
+    given = ["0.9", "16000", "0", None, "x"]
+    found = evaluate(spark, lambda c: clean.reciprocal(c).cast("decimal(18,8)"), given)
+    assert found == [Decimal("1.11111111"), Decimal("0.00006250"), None, None, None]
+
+
+def test_exact_mean_is_not_rounded_twice(spark):
+    # 1.0049999996 to six places is 1.005, which would then become 1.01.
+    rows = spark.range(25_000).selectExpr("cast(if(id = 0, 1.00, 1.005) as decimal(12,3)) AS x")
+    assert rows.agg(clean.exact_mean(F.col("x"))).first()[0] == Decimal("1.00")
+    tie = spark.createDataFrame([(Decimal("0.01"),), (Decimal("0.02"),), (None,)], "x decimal(12,2)")
+    assert tie.agg(clean.exact_mean(F.col("x"))).first()[0] == Decimal("0.02")
+    empty = spark.createDataFrame([(None,)], "x decimal(12,2)")
+    assert empty.agg(clean.exact_mean(F.col("x"))).first()[0] is None
