@@ -104,8 +104,13 @@ def _count(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _write_rejects(rows: DataFrame, lake: Lake, table: Table, run_date: date, batch: str) -> int:
-    bad, seen = _count(rejected(rows, table), f"rejected_{table.name}")
+def _write_rejects(
+    rows: DataFrame, lake: Lake, table: Table, run_date: date, batch: str, any_bad: bool = True
+) -> int:
+    """Keep what was turned away. Where all rows were loaded the rows are not read again,
+    but what an earlier run of the same date left is cleared all the same."""
+    bad = rejected(rows, table) if any_bad else rejected(rows, table).where("false")
+    bad, seen = _count(bad, f"rejected_{table.name}")
     path = f"{lake.rejects(table.name)}/run_date={run_date.isoformat()}/batch={batch}"
     bad.write.mode("overwrite").parquet(path)
     return seen.get["rows"]
@@ -118,8 +123,8 @@ def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date) -
     good, seen = _count(gold_rows(staged, table, silver.RECENCY.get(name, ())), f"loaded_{name}")
     good.write.mode("overwrite").option("compression", "snappy").parquet(lake.gold(name))
     loaded = seen.get["rows"]
-    bad = _write_rejects(staged, lake, table, run_date, "run")
     total = staged.count()  # from Parquet footers
+    bad = _write_rejects(staged, lake, table, run_date, "run", any_bad=loaded < total)
     return name, total, loaded, bad, total - loaded - bad
 
 
@@ -205,8 +210,9 @@ def load_fact(
     stored = silver.read(spark, lake, FACT_ORDERS.name, run_date)
     staged = stored.select("*", F.lit(run_date).alias("run_date"), tie().alias("_tie"))
     loaded = write_fact(staged, lake, RUN, day_number(run_date), "run", replace)
-    bad = _write_rejects(stored, lake, FACT_ORDERS, run_date, "run")
-    return FACT_ORDERS.name, stored.count(), loaded, bad, 0
+    total = stored.count()
+    bad = _write_rejects(stored, lake, FACT_ORDERS, run_date, "run", any_bad=loaded < total)
+    return FACT_ORDERS.name, total, loaded, bad, 0
 
 
 def load_all(

@@ -213,7 +213,7 @@ def reciprocal_rate(spark, folder):
 
 @query
 def array_explode_items(spark, folder):
-    lines = bronze.cart_lines(_faulty_elements(spark, folder)["carts"])
+    lines = bronze.cart_lines(bronze.carts(_faulty_elements(spark, folder)["carts"]))
     return lines.select("order_id", "customer_id", "day", "product_id", "quantity")
 
 
@@ -227,7 +227,7 @@ def bronze_roundtrip(spark, folder):
     for run_date, faulty in ((DAY_1, True), (DAY_2, False)):
         bronze.land(tables.product_elements(spark, folder, faulty), lake, "products", run_date)
         bronze.land(tables.cart_elements(spark, folder, faulty), lake, "carts", run_date)
-    lines = bronze.cart_lines(bronze.scan(spark, lake, "carts", DAY_2))
+    lines = bronze.cart_lines(bronze.carts(bronze.scan(spark, lake, "carts", DAY_2)))
     product = dims.dim_product(bronze.products(bronze.scan(spark, lake, "products", DAY_2)))
     return load.accepted(facts.fact_orders(lines, product), FACT_ORDERS)
 

@@ -24,8 +24,8 @@ def extract(elements: Mapping[str, DataFrame]) -> Frames:
         {
             "products": lambda: bronze.products(elements["products"]),
             "users": lambda: bronze.users(elements["users"]),
-            "cart_days": lambda: bronze.cart_days(elements["carts"]),
-            "cart_lines": lambda: bronze.cart_lines(elements["carts"]),
+            "cart_days": lambda: bronze.cart_days(bronze.carts(elements["carts"])),
+            "cart_lines": lambda: bronze.cart_lines(bronze.carts(elements["carts"])),
             "fx_rates": lambda: bronze.fx_rates(elements["fx_rates"]),
             "countries": lambda: bronze.countries(elements["countries"]),
         }
@@ -84,16 +84,21 @@ def land_incoming(spark: SparkSession, lake: Lake, run_date: date) -> dict[str,
 def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, tuple[str, int]]:
     """Build every silver table from bronze; returns {table: (path, rows)}.
 
-    The fact is priced from the product table just written, which is smaller and
-    cheaper to read than the product JSON.
+    The carts are parsed once, into a table of their own that the days and the fact are
+    read from; the fact is priced from the product table just written.
     """
-    feed = extract({s: bronze.scan(spark, lake, s, run_date) for s in SOURCES})
+    elements = {source: bronze.scan(spark, lake, source, run_date) for source in SOURCES}
+    carts = bronze.carts(elements["carts"])
+    written = {"carts": silver.write(carts, lake, "carts", run_date)}
+    carts = silver.read(spark, lake, "carts", run_date)
+    feed = (
+        extract(elements)
+        .replaced("cart_days", bronze.cart_days(carts))
+        .replaced("cart_lines", bronze.cart_lines(carts))
+    )
     tables = silver_tables(feed)
-    written = {
-        name: silver.write(rows, lake, name, run_date)
-        for name, rows in tables.items()
-        if name != "fact_orders"
-    }
+    for name in ("dim_product", "dim_customer", "dim_date", "dim_currency", "dim_country"):
+        written[name] = silver.write(tables[name], lake, name, run_date)
     product = silver.read(spark, lake, "dim_product", run_date)
     fact = facts.fact_orders(feed["cart_lines"], product)
     written["fact_orders"] = silver.write(fact, lake, "fact_orders", run_date)

@@ -114,38 +114,27 @@ def users(elements: DataFrame) -> DataFrame:
 
 
 def carts(elements: DataFrame) -> DataFrame:
-    """One row per cart, with or without items; the day is null where unreadable."""
-    return _parsed(elements).select(
-        _get("$.id", "bigint").alias("order_id"),
-        _get("$.userId", "bigint").alias("customer_id"),
-        clean.day(_get("$.date")).alias("day"),
-    )
-
-
-def cart_days(elements: DataFrame) -> DataFrame:
-    return carts(elements).select("day")
+    """One row per cart item; a cart without items, or without a readable date, is one
+    row with has_item false.
 
-
-def cart_lines(elements: DataFrame) -> DataFrame:
-    """One row per cart item; carts without items give none.
-
-    An absent quantity is 1, a null one stays null. Cart fields are read, and undated
-    carts emptied, before the items are unfolded, so their cost is per cart; emptying
-    instead of filtering keeps Spark from parsing each cart again for the filter.
+    Days and order lines both come from this, so that the largest source is parsed once.
+    Cart fields are read before the items are unfolded, so their cost is per cart; items
+    of undated carts are emptied, not filtered, or Spark would parse each cart again for
+    the filter. An absent quantity is 1, a null one stays null.
     """
-    carts = _parsed(elements).select(
+    heads = _parsed(elements).select(
         _get("$.id", "bigint").alias("order_id"),
         _get("$.userId", "bigint").alias("customer_id"),
         clean.day(_get("$.date")).alias("day"),
         _get("$.products", "array<variant>").alias("items"),
     )
-    lines = carts.select(
+    unfolded = heads.select(
         "order_id",
         "customer_id",
         "day",
-        F.explode(F.when(F.col("day").isNotNull(), F.col("items"))).alias("item"),
+        F.explode_outer(F.when(F.col("day").isNotNull(), F.col("items"))).alias("item"),
     )
-    return lines.select(
+    return unfolded.select(
         "order_id",
         "customer_id",
         "day",
@@ -153,9 +142,18 @@ def cart_lines(elements: DataFrame) -> DataFrame:
         F.when(_missing("$.quantity", "item"), F.lit(1))
         .otherwise(_get("$.quantity", "int", "item"))
         .alias("quantity"),
+        F.col("item").isNotNull().alias("has_item"),
     )
 
 
+def cart_days(carts: DataFrame) -> DataFrame:
+    return carts.select("day")
+
+
+def cart_lines(carts: DataFrame) -> DataFrame:
+    return carts.where("has_item").drop("has_item")
+
+
 def fx_rates(elements: DataFrame) -> DataFrame:
     """One row per currency, in document order (a VARIANT would sort the codes)."""
     doc = F.from_json("body", "base string, rates map<string,string>")

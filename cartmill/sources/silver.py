@@ -23,6 +23,9 @@ SCHEMAS = {
     "dim_currency": "currency_id int, currency_code string, rate_to_usd decimal(38,8)",
     "fact_orders": "order_id bigint, date_id int, product_id bigint, customer_id bigint, "
     "quantity int, unit_price_usd decimal(18,2), total_usd decimal(18,2)",
+    # Carts unfolded to items, the step between the cart JSON and two of the tables.
+    "carts": "order_id bigint, customer_id bigint, day date, product_id bigint, quantity int, "
+    "has_item boolean",
     "dim_country": "country_code string, country string, region string, subregion string, "
     "currency_code string, lat decimal(9,6), lon decimal(9,6), population bigint",
 }

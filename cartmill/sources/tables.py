@@ -224,24 +224,25 @@ def cart_elements(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
         .select(
             "l_orderkey",
             item.alias("item"),
-            F.floor(F.monotonically_increasing_id() / F.lit(ITEMS_PER_CART)).alias("run"),
+            F.expr(f"monotonically_increasing_id() div {ITEMS_PER_CART}").alias("run"),
         )
     )
     carts = runs.groupBy("l_orderkey", "run").agg(
         F.concat_ws(",", F.collect_list("item")).alias("items")
     )
-    head = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"))
+    def element(*members: Column) -> list[Column]:
+        head = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"))
+        body = F.concat(head, _member("userId", user), _member("date", date), *members, F.lit("}"))
+        return [*_place("carts", F.col("o_orderkey")), body.alias("body")]
+
+    # An inner join, whose hot orders Spark can split on either side; orders without lines
+    # are added apart.
     items = F.concat(F.lit("["), F.col("items"), F.lit("]"))
-    return orders.join(carts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        *_place("carts", F.col("o_orderkey")),
-        F.concat(
-            head,
-            _member("userId", user),
-            _member("date", date),
-            _member("products", items),
-            F.lit("}"),
-        ).alias("body"),
-    )
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    filled = carts.join(orders, same).select(*element(_member("products", items)))
+    ordered = table(spark, folder, "lineitem").select("l_orderkey").distinct()
+    empty = orders.join(ordered, same, "left_anti").select(*element())
+    return filled.unionAll(empty)
 
 
 def user_elements(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:

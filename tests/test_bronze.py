@@ -29,9 +29,9 @@ def test_documents_keep_text_and_order(spark, tmp_path):
 def test_empty_list_gives_typed_empty_tables(spark, tmp_path):
     nothing = bronze.read_documents(spark, drop(tmp_path, "c.json", "[]"))
     product = dims.dim_product(bronze.products(nothing))
-    assert dims.dim_date(bronze.cart_days(nothing)).collect() == []
+    assert dims.dim_date(bronze.cart_days(bronze.carts(nothing))).collect() == []
     assert dims.dim_customer(bronze.users(nothing)).collect() == []
-    fact = facts.fact_orders(bronze.cart_lines(nothing), product)
+    fact = facts.fact_orders(bronze.cart_lines(bronze.carts(nothing)), product)
     assert fact.collect() == [] and dict(fact.dtypes)["total_usd"] == "decimal(18,2)"
 
 
@@ -90,7 +90,7 @@ def test_user_defaults(spark):
 
 
 def test_cart_items(spark):
-    found = bronze.cart_lines(
+    carts = bronze.carts(
         elements(
             spark,
             {"id": 1, "userId": 9, "date": "2024-01-05", "products": [
@@ -101,13 +101,14 @@ def test_cart_items(spark):
             "{broken",
         )
     )
+    found = bronze.cart_lines(carts)
     rows = sorted((r.order_id, r.customer_id, r.product_id or 0, r.quantity) for r in found.collect() if r.quantity)
     assert rows == [(1, 9, 0, 4), (1, 9, 1, 2), (1, 9, 2, 1)]
     assert found.where("quantity is null").count() == 1
 
 
 def test_days_of_carts_without_items_count(spark):
-    days = dims.dim_date(bronze.cart_days(elements(spark, {"id": 1, "date": "2024-01-05"}, {"id": 2, "date": ""}, {"id": 3})))
+    days = dims.dim_date(bronze.cart_days(bronze.carts(elements(spark, {"id": 1, "date": "2024-01-05"}, {"id": 2, "date": ""}, {"id": 3}))))
     assert [r.date_id for r in days.collect()] == [20240105]
 
 
@@ -155,6 +156,6 @@ def test_a_hot_order_is_cut_into_bounded_carts(spark, tmp_path):
     carts = tables.cart_elements(spark, str(tmp_path))
     sizes = carts.selectExpr("size(from_json(body, 'products array<string>').products) AS n")
     assert sizes.agg({"n": "max"}).first()[0] <= tables.ITEMS_PER_CART
-    lines = bronze.cart_lines(carts)
+    lines = bronze.cart_lines(bronze.carts(carts))
     assert lines.count() == 9000
     assert lines.where("order_id = 7").count() == 6000 + 60
