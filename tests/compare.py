@@ -62,7 +62,12 @@ def main() -> None:
 
     folder, names = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+        master="local[8]",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "12g",
+            "spark.sql.shuffle.partitions": "8",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql = connect(folder), entry.oracle_sql()
