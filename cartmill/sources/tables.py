@@ -36,12 +36,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal rows out once where the input has fewer splits than there are cores, as one
-    file with one row group has. Input of any size worth a cluster has more, and is then
-    left as it is, without a shuffle."""
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a table, dealt out once where its files have fewer splits than there are
+    cores, as one file with one row group has. Input of any size worth a cluster has more,
+    and is then left as it is, without a shuffle.
+
+    Rows go by their place in the file: even whatever the values, and without the sort
+    that a round-robin deal needs to be repeatable.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    wanted = rows.select(*columns)
+    if wanted.rdd.getNumPartitions() >= cores:
+        return wanted
+    placed = rows.select(*columns, F.col("_metadata.row_index").alias("_row"))
+    return placed.repartition(cores, "_row").drop("_row")
 
 
 def _place(doc: str, pos: Column) -> list[Column]:
@@ -98,8 +106,8 @@ def feed(spark: SparkSession, folder: str) -> Frames:
         return table(spark, folder, "orders").select(*keys, day)
 
     def cart_lines() -> DataFrame:
-        items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-        lines = spread(items).join(
+        items = table(spark, folder, "lineitem")
+        lines = spread(items, "l_orderkey", "l_partkey", "l_quantity").join(
             carts("o_orderkey", "o_custkey").where("day is not null"),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
