@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartmill.operators.facts import lookup
+from cartmill.operators.facts import last_per_key, lookup
 from cartmill.operators.reports import USD, Star
 
 
 def customer_country(customers: DataFrame, countries: DataFrame) -> DataFrame:
     """Country, region and currency for each customer with a `country_code`; unknown or
-    missing codes keep the customer, with nulls."""
-    country = countries.select(
-        "country_code", "country", "region", "subregion", "currency_code"
-    ).dropDuplicates(["country_code"])
+    missing codes keep the customer, with nulls. Of several countries with one code the
+    last by name counts."""
+    details = ("country", "region", "subregion", "currency_code")
+    country = last_per_key(countries.select("country_code", *details), "country_code", details)
     return customers.join(country, "country_code", "left")
 
 

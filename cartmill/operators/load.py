@@ -110,9 +110,14 @@ def _write_rejects(
     """Keep what was turned away. Where all rows were loaded the rows are not read again,
     but what an earlier run of the same date left is cleared all the same."""
     bad = rejected(rows, table) if any_bad else rejected(rows, table).where("false")
-    bad, seen = _count(bad, f"rejected_{table.name}")
-    path = f"{lake.rejects(table.name)}/run_date={run_date.isoformat()}/batch={batch}"
-    bad.write.mode("overwrite").parquet(path)
+    return keep_rejects(bad, lake, table.name, run_date, batch)
+
+
+def keep_rejects(bad: DataFrame, lake: Lake, name: str, run_date: date, batch: str = "run") -> int:
+    """Replace one load's rejects; returns how many there are."""
+    bad, seen = _count(bad, f"rejected_{name}")
+    path = f"{lake.rejects(name)}/run_date={run_date.isoformat()}/batch={batch}"
+    bad.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return seen.get["rows"]
 
 

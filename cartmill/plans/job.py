@@ -91,6 +91,10 @@ def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, t
     carts = bronze.carts(elements["carts"])
     written = {"carts": silver.write(carts, lake, "carts", run_date)}
     carts = silver.read(spark, lake, "carts", run_date)
+    broken = carts.where("unreadable IS NOT NULL").selectExpr(
+        "array('not JSON') AS reasons", "unreadable AS source_row"
+    )
+    load.keep_rejects(broken, lake, "carts", run_date)
     feed = (
         extract(elements)
         .replaced("cart_days", bronze.cart_days(carts))

@@ -63,7 +63,7 @@ def scan(spark: SparkSession, lake: Lake, source: str, run_date: date) -> DataFr
 
 
 def _parsed(elements: DataFrame) -> DataFrame:
-    return elements.select(*FEED_ORDER, F.try_parse_json("body").alias("v"))
+    return elements.select(*FEED_ORDER, "body", F.try_parse_json("body").alias("v"))
 
 
 def _get(path: str, kind: str = "string", v: str = "v") -> Column:
@@ -80,11 +80,6 @@ def _text(path: str) -> Column:
     return F.when(_missing(path), F.lit("")).otherwise(_get(path))
 
 
-def unreadable(elements: DataFrame) -> DataFrame:
-    """Elements that are not JSON."""
-    return elements.where(F.try_parse_json("body").isNull())
-
-
 def products(elements: DataFrame) -> DataFrame:
     """A rating that is not an object gives null rate and count."""
     return _parsed(elements).select(
@@ -120,18 +115,21 @@ def carts(elements: DataFrame) -> DataFrame:
     Days and order lines both come from this, so that the largest source is parsed once.
     Cart fields are read before the items are unfolded, so their cost is per cart; items
     of undated carts are emptied, not filtered, or Spark would parse each cart again for
-    the filter. An absent quantity is 1, a null one stays null.
+    the filter. An absent quantity is 1, a null one stays null. An element that is not
+    JSON keeps its text in `unreadable`.
     """
     heads = _parsed(elements).select(
         _get("$.id", "bigint").alias("order_id"),
         _get("$.userId", "bigint").alias("customer_id"),
         clean.day(_get("$.date")).alias("day"),
         _get("$.products", "array<variant>").alias("items"),
+        F.when(F.col("v").isNull(), F.col("body")).alias("unreadable"),
     )
     unfolded = heads.select(
         "order_id",
         "customer_id",
         "day",
+        "unreadable",
         F.explode_outer(F.when(F.col("day").isNotNull(), F.col("items"))).alias("item"),
     )
     return unfolded.select(
@@ -143,6 +141,7 @@ def carts(elements: DataFrame) -> DataFrame:
         .otherwise(_get("$.quantity", "int", "item"))
         .alias("quantity"),
         F.col("item").isNotNull().alias("has_item"),
+        "unreadable",
     )
 
 
@@ -151,7 +150,7 @@ def cart_days(carts: DataFrame) -> DataFrame:
 
 
 def cart_lines(carts: DataFrame) -> DataFrame:
-    return carts.where("has_item").drop("has_item")
+    return carts.where("has_item").drop("has_item", "unreadable")
 
 
 def fx_rates(elements: DataFrame) -> DataFrame:

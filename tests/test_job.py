@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from cartmill.operators import load
 from cartmill.plans import job
+from cartmill.sources import bronze
 
 DAY_1, DAY_2 = date(2024, 1, 5), date(2024, 1, 6)
 
@@ -76,6 +77,16 @@ def test_days_in_both_modes(spark, lake):
         assert {r.run_date: r["count"] for r in rows} == expected
 
 
+def test_elements_that_are_not_json_are_kept(spark, lake):
+    drop(lake, DAY_1)
+    job.land_incoming(spark, lake, DAY_1)
+    broken = spark.createDataFrame([("d", 0, 0, "{broken"), ("d", 0, 1, json.dumps(CARTS[0]))], bronze.SCHEMA)
+    bronze.land(broken, lake, "carts", DAY_1)
+    assert job.build_silver(spark, lake, DAY_1)["fact_orders"][1] == 2
+    bad = load.read_rejects(spark, lake, "carts").first()
+    assert (bad.reasons, bad.source_row, bad.run_date) == (["not JSON"], "{broken", DAY_1)
+
+
 def test_silver_returns_path_and_rows(spark, lake):
     drop(lake, DAY_1)
     job.land_incoming(spark, lake, DAY_1)
