@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartmill.operators import load
-from cartmill.schemas import DIM_CURRENCY, DIM_CUSTOMER, DIM_PRODUCT, FACT_ORDERS, TABLES
+from cartmill.schemas import DIM_CURRENCY, DIM_CUSTOMER, DIM_PRODUCT, TABLES
 from cartmill.sources import silver
 from cartmill.streaming.append import append_new_files
 
