@@ -1,6 +1,122 @@
-"""The same results in DuckDB's SQL, where it can express them."""
+"""The same results in DuckDB's SQL, where it can express them.
+
+Without SQL: op3 (a seed may miss what a search of all alignments finds), op5 (approximate),
+op8 (tokens), op9 (offsets of matches), op10 (a trained network).
+"""
 
 from __future__ import annotations
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
-ORACLE: dict[str, str] = {}
+
+_NUMBER = "CAST('0x' || md5({key})[1:15] AS BIGINT)"
+_SLOTS = 2039
+
+_SHARDING = f"""
+WITH RECURSIVE shard AS (
+  SELECT CAST(n AS INTEGER) AS id, 'shard-' || lpad(CAST(n AS VARCHAR), 2, '0') AS name
+  FROM range({len(SHARDS)}) AS r(n)),
+lists AS (
+  SELECT list(l ORDER BY id) AS p
+  FROM (SELECT id, [(o + j * s) % {_SLOTS} FOR j IN range({_SLOTS})] AS l
+        FROM (SELECT id, {_NUMBER.format(key="name || '/offset'")} % {_SLOTS} AS o,
+                     {_NUMBER.format(key="name || '/skip'")} % {_SLOTS - 1} + 1 AS s FROM shard))),
+filled AS (
+  SELECT 0 AS turn, [CAST(-1 AS INTEGER) FOR k IN range({_SLOTS})] AS held
+  UNION ALL
+  SELECT turn + 1,
+         list_concat(list_concat(held[1:slot], [CAST(turn % {len(SHARDS)} AS INTEGER)]), held[slot + 2:])
+  FROM (SELECT turn, held,
+               p[turn % {len(SHARDS)} + 1][list_position([held[x + 1] FOR x IN p[turn % {len(SHARDS)} + 1]], -1)] AS slot
+        FROM filled, lists WHERE turn < {_SLOTS}) AS t),
+owner AS (SELECT held FROM filled WHERE turn = {_SLOTS})
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, 'shard-' || lpad(CAST(held[slot + 1] AS VARCHAR), 2, '0') AS shard
+FROM (SELECT doc_id, {_NUMBER.format(key="CAST(doc_id AS VARCHAR)")} % {_SLOTS} AS slot FROM documents), owner"""
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_URLS = f"""
+WITH rule(host, path, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+judged AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_ASCII}), '') AS h,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS p
+  FROM pages)
+SELECT page_id, h AS host, p AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM (SELECT page_id, h, p, host || r.path AS rule, verdict,
+             row_number() OVER (PARTITION BY page_id ORDER BY length(host || r.path) DESC NULLS LAST, length(host) DESC) AS nth
+      FROM judged LEFT JOIN rule r
+        ON (h = host OR ends_with(h, '.' || host)) AND starts_with(p, r.path))
+WHERE nth = 1"""
+
+_JACCARD = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g
+  FROM worded),
+sized AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN sized x ON a = x.doc_id JOIN sized y ON b = y.doc_id
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
+FROM documents d LEFT JOIN sized USING (doc_id)
+JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = d.doc_id"""
+
+_BARE = "trim(x, ' ' || chr(9) || chr(13))"
+_LINES = f"""
+WITH page AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
+total AS (SELECT source, count(*) AS n FROM page GROUP BY source),
+line AS (
+  SELECT DISTINCT source, text, unnest([{_BARE} FOR x IN string_split(text, chr(10))]) AS line FROM page),
+common AS (
+  SELECT c.source, c.line
+  FROM (SELECT source, line, count(*) AS n FROM line WHERE line <> '' GROUP BY ALL) c
+  JOIN total t ON c.source IS NOT DISTINCT FROM t.source
+  WHERE c.n >= 5 AND c.n > CAST(0.1 AS DOUBLE) * t.n),
+listed AS (SELECT source, list(line) AS lines FROM common GROUP BY source),
+cut AS (
+  SELECT doc_id, d.source, text, string_split(text, chr(10)) AS parts,
+         [x FOR x IN string_split(text, chr(10)) IF lines IS NULL OR NOT list_contains(lines, {_BARE})] AS kept
+  FROM documents d LEFT JOIN listed l ON d.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
+       CAST(coalesce(len(parts) - len(kept), 0) AS BIGINT) AS lines_dropped
+FROM cut"""
+
+_ESCAPED = r"regexp_replace(replace({x}, '\', '\\'), '<\|', '<\\|', 'g')"
+_CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, t, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)),
+placed AS (
+  SELECT *, {_ESCAPED.format(x="role")} AS er, {_ESCAPED.format(x="text")} AS et,
+         row_number() OVER o AS nth, lag(role) OVER o AS before
+  FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+sized AS (
+  SELECT *, CASE WHEN nth > 1 AND role = before THEN 8
+                 ELSE 16 + length(er) + 7 END AS lead FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(lead + length(et)) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+ORACLE: dict[str, str] = {
+    "op1_sharding": _SHARDING,
+    "op2_url_filters": _URLS,
+    "op4_jaccard_join": _JACCARD,
+    "op6_line_dedup": _LINES,
+    "op7_chat_formatting": _CHAT,
+}
