@@ -5,15 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Day formats read besides ISO 8601, month first as in US dates.
+# Our choice of day formats read besides ISO 8601, in the order they are tried: month first
+# as in US dates, then day first where that is the only reading.
 OTHER_DAY_FORMATS = (
     "yyyyMMdd",
-    "yyyy/M/d[ H:mm[:ss]]",
-    "M/d/yyyy[ H:mm[:ss]]",
-    "MMM d, yyyy[ H:mm[:ss]]",
-    "MMMM d, yyyy[ H:mm[:ss]]",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "d MMMM yyyy[ H:mm[:ss]]",
+    "yyyy-M-d",
+    "yyyy/M/d",
+    "yyyy.M.d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "MMM d, yyyy",
+    "MMM d yyyy",
+    "MMMM d, yyyy",
+    "MMMM d yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "d-MMM-yyyy",
+)
+# A weekday before the day, and a time of day after it with or without a zone.
+WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
+TIME = (
+    r"(?:[T\s]\s*(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?\s*(?i:am|pm)?|T(?:[01]\d|2[0-3])[0-5]\d(?:[0-5]\d)?)"
+    r"\s*(?i:z|gmt|utc|[+-]\d{2}:?\d{2})?$"
 )
 WHITESPACE = " \t\n\r\f\v"
 MONEY = "decimal(18,2)"  # fits a long, so arithmetic stays in fixed-width rows
@@ -54,7 +67,8 @@ def day(text: Column) -> Column:
     """
     text = F.btrim(text, F.lit(WHITESPACE))
     iso = F.when(F.try_to_timestamp(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
-    others = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in OTHER_DAY_FORMATS]
+    bare = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), TIME, "")
+    others = [F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in OTHER_DAY_FORMATS]
     return F.coalesce(iso, *others)
 
 

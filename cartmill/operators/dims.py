@@ -13,6 +13,11 @@ from cartmill.functions import clean
 from cartmill.sources.bronze import FEED_ORDER
 
 
+def kept(records: DataFrame) -> list[str]:
+    """The columns with faults and elements, of records that come from JSON."""
+    return [c for c in ("_faults", "_raw") if c in records.columns]
+
+
 def dim_product(records: DataFrame) -> DataFrame:
     return records.select(
         F.col("id").alias("product_id"),
@@ -22,6 +27,7 @@ def dim_product(records: DataFrame) -> DataFrame:
         clean.number(F.col("rating_rate")).try_cast("decimal(18,6)").alias("rating_rate"),
         clean.number(F.col("rating_count")).try_cast("bigint").alias("rating_count"),
         *FEED_ORDER,
+        *kept(records),
     )
 
 
@@ -37,6 +43,7 @@ def dim_customer(records: DataFrame) -> DataFrame:
         clean.position(F.col("lon")).try_cast("decimal(18,6)").alias("lon"),
         "country_code",
         *FEED_ORDER,
+        *kept(records),
     )
 
 

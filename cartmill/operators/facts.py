@@ -33,17 +33,23 @@ def lookup(
     return joined.withColumn(value, chosen).drop("_key", "_value")
 
 
-def fact_orders(cart_lines: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fact_orders(cart_lines: DataFrame, dim_product: DataFrame, fits: str = "price_usd IS NOT NULL") -> DataFrame:
     """One row per order line, priced from the product list. `dim_product` is the silver
-    one; of repeated ids the last counts."""
+    one; of repeated ids the last that fits counts, as in the gold table, and a product
+    whose entries all don't has no price."""
+    extra = [c for c in (*FEED_ORDER, "_faults", "_raw") if c in cart_lines.columns]
     lines = cart_lines.select(
         "order_id",
         clean.date_key(F.col("day")).alias("date_id"),
         "product_id",
         "customer_id",
         "quantity",
+        *extra,
     )
-    prices = last_per_key(dim_product.select("product_id", "price_usd", *FEED_ORDER), "product_id")
+    entries = dim_product.withColumn("_fits", F.coalesce(F.expr(fits), F.lit(False))).select(
+        "product_id", F.when(F.col("_fits"), F.col("price_usd")).alias("price_usd"), "_fits", *FEED_ORDER
+    )
+    prices = last_per_key(entries, "product_id", ("_fits", *FEED_ORDER))
     priced = lookup(lines, prices, "product_id", "price_usd", F.lit(0).cast(clean.MONEY))
     return priced.select(
         "order_id",
@@ -55,4 +61,5 @@ def fact_orders(cart_lines: DataFrame, dim_product: DataFrame) -> DataFrame:
         F.try_multiply("price_usd", F.col("quantity").cast("decimal(10,0)"))
         .try_cast(clean.MONEY)
         .alias("total_usd"),
+        *extra,
     )

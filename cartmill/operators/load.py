@@ -8,7 +8,7 @@ their reasons and original values.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,31 +69,49 @@ def _fields(rows: DataFrame, table: Table) -> list[_Field]:
     return [_field(spec, names, types) for spec in table.fed_columns]
 
 
-def _good(fields: list[_Field]) -> str:
-    return " AND ".join(test for f in fields for test in f.fits) or "true"
+#: Silver columns that the load reads besides the table's own: what was wrong with a value
+#: that silver could not keep, and the element as it came.
+FAULTS, RAW = "_faults", "_raw"
+
+
+def fits(rows: DataFrame, table: Table) -> str:
+    """SQL: the row is complete, every value fits, and silver found no fault."""
+    tests = [test for f in _fields(rows, table) for test in f.fits]
+    if FAULTS in rows.columns:
+        tests.append(f"coalesce(size({FAULTS}), 0) = 0")
+    return " AND ".join(tests) or "true"
 
 
 def accepted(rows: DataFrame, table: Table, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows that fit, in target types and order, and the source columns in `keep`."""
-    fields = _fields(rows, table)
-    targets = [f"{f.value} AS {f.name}" for f in fields]
-    return rows.where(_good(fields)).selectExpr(*targets, *keep)
+    targets = [f"{f.value} AS {f.name}" for f in _fields(rows, table)]
+    return rows.where(fits(rows, table)).selectExpr(*targets, *keep)
 
 
 def rejected(rows: DataFrame, table: Table) -> DataFrame:
-    """Rows that do not fit, with every reason and the source row as JSON."""
-    fields = _fields(rows, table)
-    reasons = ", ".join(
-        f"CASE WHEN {fault} THEN '{reason}' END" for f in fields for reason, fault in f.faults
+    """Rows that do not fit, with every reason and the source row as JSON.
+
+    Where silver has a fault for a column (`name: what`), it is the reason, and that the
+    column is missing is not. The source row has the element as it came, where silver kept it.
+    """
+    found = ", ".join(
+        f"CASE WHEN {fault} THEN '{reason}' END" for f in _fields(rows, table) for reason, fault in f.faults
     )
-    return rows.where(f"NOT coalesce({_good(fields)}, false)").selectExpr(
-        f"array_compact(array({reasons})) AS reasons", "to_json(struct(*)) AS source_row"
+    reasons = f"array_compact(array({found}))"
+    if FAULTS in rows.columns:
+        reasons = f"""concat(coalesce({FAULTS}, array()), filter({reasons}, r -> NOT exists(
+            coalesce({FAULTS}, array()), f -> r = concat(split_part(f, ':', 1), ': missing'))))"""
+    source = ", ".join(f"`{c}`" for c in rows.columns if c != FAULTS)
+    return rows.where(f"NOT coalesce({fits(rows, table)}, false)").selectExpr(
+        f"{reasons} AS reasons", f"to_json(struct({source})) AS source_row"
     )
 
 
-def gold_rows(rows: DataFrame, table: Table, recency: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that fit; of several with one declared key, the last in the feed."""
-    fitting = accepted(rows, table, keep=recency)
+def gold_rows(
+    rows: DataFrame, table: Table, recency: tuple[str, ...] = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows that fit; of several with one declared key, the last in the feed that fits."""
+    fitting = accepted(rows, table, keep=(*recency, *keep))
     if not recency:
         return fitting
     return last_per_key(fitting, table.key, recency).drop(*recency)
@@ -116,7 +134,7 @@ def _write_rejects(
 def keep_rejects(bad: DataFrame, lake: Lake, name: str, run_date: date, batch: str = "run") -> int:
     """Replace one load's rejects; returns how many there are."""
     bad, seen = _count(bad, f"rejected_{name}")
-    path = f"{lake.rejects(name)}/run_date={run_date.isoformat()}/batch={batch}"
+    path = lake.load_folder(name, run_date, batch, lake.rejects(name))
     bad.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return seen.get["rows"]
 
@@ -130,30 +148,56 @@ def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date) -
     loaded = seen.get["rows"]
     total = staged.count()  # from Parquet footers
     bad = _write_rejects(staged, lake, table, run_date, "run", any_bad=loaded < total)
+    follow(spark, lake, name)
     return name, total, loaded, bad, total - loaded - bad
 
 
-# A line key is unique by its parts, so no load has to look at the keys already there:
-# how the rows came in (2 bits), which load of that kind (15), task (18), row in task (28).
-RUN, STREAM, ROWS = 0, 1, 2
-_TASK_BITS, _ROW_BITS, _LOAD_BITS = 18, 28, 15
+LEDGER_SCHEMA = "load string, at timestamp, first_key bigint, last_key bigint"
 
 
-def line_key(kind: int, load: int) -> Column:
-    if not 0 <= load < 1 << _LOAD_BITS:
-        raise ValueError(f"load number {load} does not fit {_LOAD_BITS} bits")
-    row_id = F.monotonically_increasing_id()  # task number << 33 | row in task
-    task, row = F.shiftright(row_id, 33), row_id.bitwiseAND(F.lit((1 << 33) - 1))
-    base = ((kind << _LOAD_BITS) | load) << (_TASK_BITS + _ROW_BITS)
-    fits = (task < (1 << _TASK_BITS)) & (row < (1 << _ROW_BITS))
-    key = F.lit(base).cast("bigint") + F.shiftleft(task, _ROW_BITS) + row
-    return F.when(fits, key).otherwise(
-        F.raise_error(F.lit("too many rows in one write task: raise spark.sql.shuffle.partitions"))
-    )
+def _ledger(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The ledger's rows; None before the first load."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(lake.ledger)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.schema(LEDGER_SCHEMA).parquet(lake.ledger)
+
 
+def _note(spark: SparkSession, lake: Lake, load: str, first: int, last: int | None) -> None:
+    row = spark.createDataFrame([(load, datetime.now(timezone.utc), first, last)], LEDGER_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(lake.ledger)
 
-def day_number(run_date: date) -> int:
-    return (run_date - date(1970, 1, 1)).days
+
+def begin_keys(spark: SparkSession, lake: Lake, load: str) -> int:
+    """The first line key of a load: beyond those of every load before.
+
+    The ledger has a row for the beginning and one for the end of each load, with its first
+    and last key, so gold isn't read. Only where a load broke off before its end was noted is
+    the highest key looked up there. Loads of one lake must not run at the same time.
+    """
+    noted = _ledger(spark, lake)
+    first = 0
+    if noted is not None:
+        row = noted.agg(
+            F.max("last_key").alias("last"),
+            F.count_if(F.col("last_key").isNull()).alias("begun"),
+            F.count("last_key").alias("ended"),
+        ).first()
+        last = row["last"]
+        if row["begun"] != row["ended"]:
+            stored = read_gold(spark, lake, FACT_ORDERS.name).agg(F.max("order_line_id")).first()[0]
+            last = max(x for x in (last, stored, -1) if x is not None)
+            for _ in range(row["begun"] - row["ended"]):
+                _note(spark, lake, "recovered", last, last)
+        first = (last if last is not None else -1) + 1
+    _note(spark, lake, load, first, None)
+    return first
+
+
+def line_key(first: int) -> Column:
+    """first, and on: unique within the load, not gap-free. A task takes up 2^33 numbers, so
+    a lake has room for 2^30 writing tasks in all."""
+    return F.lit(first).cast("bigint") + F.monotonically_increasing_id()
 
 
 def tie() -> Column:
@@ -162,24 +206,25 @@ def tie() -> Column:
 
 
 def clustered(rows: DataFrame, table: Table, tie_column: str) -> DataFrame:
-    """Range-partitioned by the clustering columns, so that file statistics skip.
+    """Range-partitioned by folder and clustering columns, so that file statistics skip.
 
-    The tie column goes last into the ranges: a single hot day and product is cut into
-    several of them instead of filling one task.
+    The folders' columns go first, so a task writes into few of them however many there are;
+    the tie column goes last: a single hot day and product is cut into several ranges instead
+    of filling one task.
     """
-    ranged = rows.repartitionByRange(*table.cluster_by, tie_column)
     folders = [c.name for c in table.partition_by]
+    ranged = rows.repartitionByRange(*folders, *table.cluster_by, tie_column)
     return ranged.sortWithinPartitions(*folders, *table.cluster_by).drop(tie_column)
 
 
-def _fact_rows(staged: DataFrame, kind: int, load: int, batch: str) -> DataFrame:
+def _fact_rows(staged: DataFrame, first_key: int, batch: str) -> DataFrame:
     """Accepted, laid out and keyed fact rows; `staged` has run_date and _tie."""
     table = FACT_ORDERS
     good = accepted(staged.withColumn("batch", F.lit(batch)), table, keep=("run_date", "batch", "_tie"))
     # Keys are given after the shuffle, in the task that writes them: a lost upstream
     # task can be run again without changing where any row goes.
     return clustered(good, table, "_tie").select(
-        line_key(kind, load).alias("order_line_id"),
+        line_key(first_key).alias("order_line_id"),
         *[c.name for c in table.fed_columns],
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
         "run_date",
@@ -188,16 +233,53 @@ def _fact_rows(staged: DataFrame, kind: int, load: int, batch: str) -> DataFrame
 
 
 def write_fact(
-    staged: DataFrame, lake: Lake, kind: int, load: int, batch: str, replace: str
+    spark: SparkSession, staged: DataFrame, lake: Lake, batch: str, run_date: date | None = None, replace: bool = False
 ) -> int:
-    """replace = "static": the whole table; "dynamic": only the (run_date, batch)
-    folders this load writes, so repeating it changes nothing else."""
-    good, seen = _count(_fact_rows(staged, kind, load, batch), f"loaded_{batch}")
+    """Write one load's rows. With `replace` the whole table is replaced; with a run_date that
+    load's own folder is, also by nothing where no row is accepted; else the (run_date, batch)
+    folders the load writes, so repeating it changes nothing else."""
+    name = f"{run_date or 'stream'}/{batch}"
+    first = begin_keys(spark, lake, name)
+    seen = Observation(f"loaded_{batch}")
+    good = _fact_rows(staged, first, batch).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.max("order_line_id").alias("last")
+    )
     folders = [c.name for c in FACT_ORDERS.partition_by]
-    good.write.mode("overwrite").partitionBy(*folders).option(
-        "partitionOverwriteMode", replace
-    ).option("compression", "snappy").parquet(lake.gold(FACT_ORDERS.name))
-    return seen.get["rows"]
+    out = good.write.mode("overwrite").option("compression", "snappy")
+    if replace or run_date is None:
+        out = out.partitionBy(*folders).option("partitionOverwriteMode", "static" if replace else "dynamic")
+        out.parquet(lake.gold(FACT_ORDERS.name))
+    else:
+        good.drop(*folders).write.mode("overwrite").option("compression", "snappy").parquet(
+            lake.load_folder(FACT_ORDERS.name, run_date, batch)
+        )
+    found = seen.get
+    last = found["last"] if found["last"] is not None else first - 1
+    _note(spark, lake, name, first, last)
+    follow(spark, lake, FACT_ORDERS.name)
+    return found["rows"]
+
+
+def follow(spark: SparkSession, lake: Lake, name: str) -> None:
+    """Make what is published show a table's new files: the views, which hold listings, and
+    the catalog table, whose new folders are registered."""
+    if name == FACT_ORDERS.name and _catalog_location(spark, name) == _qualified(spark, lake.gold(name)):
+        spark.sql(f"MSCK REPAIR TABLE {_catalog_name(spark, name)} SYNC PARTITIONS")
+    for view in PUBLISHED:
+        if spark.catalog.tableExists(view):
+            spark.catalog.refreshTable(view)
+
+
+def has_loads(spark: SparkSession, lake: Lake, batch: str) -> bool:
+    """Whether the fact has folders of loads whose batch matches a glob pattern."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{lake.gold(FACT_ORDERS.name)}/run_date=*/batch={batch}")
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at))
+
+
+#: Views of the session that show gold tables; filled by whoever publishes them.
+PUBLISHED: set[str] = set()
+#: How fact rows come in: see load_fact; the last is streaming.append.
+FACT_MODES = ("snapshot", "replace_run", "append_new_files")
 
 
 def load_fact(
@@ -211,45 +293,65 @@ def load_fact(
                  just its own
     (streaming.append is the third way: every silver file once.)
     """
-    replace = {"snapshot": "static", "replace_run": "dynamic"}[mode]
+    if mode not in FACT_MODES[:2]:
+        raise ValueError(f"{mode} is none of {FACT_MODES[:2]}")
+    if mode == "replace_run" and has_loads(spark, lake, "stream-*"):
+        raise ValueError("the fact holds lines loaded file by file, which this would add again")
     stored = silver.read(spark, lake, FACT_ORDERS.name, run_date)
     staged = stored.select("*", F.lit(run_date).alias("run_date"), tie().alias("_tie"))
-    loaded = write_fact(staged, lake, RUN, day_number(run_date), "run", replace)
+    loaded = write_fact(spark, staged, lake, "run", run_date, mode == "snapshot")
     total = stored.count()
     bad = _write_rejects(stored, lake, FACT_ORDERS, run_date, "run", any_bad=loaded < total)
     return FACT_ORDERS.name, total, loaded, bad, 0
 
 
 def load_all(
-    spark: SparkSession, lake: Lake, run_date: date, fact_mode: str = "snapshot"
+    spark: SparkSession, lake: Lake, run_date: date, fact_mode: str = "snapshot", **options: str
 ) -> DataFrame:
-    """Dimensions, then the fact; one result row per table."""
+    """Dimensions, then the fact; one result row per table.
+
+    A mode that isn't known is refused before anything is written. `options` go to the
+    streaming load (streaming.append) where the mode is append_new_files.
+    """
+    if fact_mode not in FACT_MODES:
+        raise ValueError(f"{fact_mode} is none of {FACT_MODES}")
     results = [load_dimension(spark, lake, t.name, run_date) for t in LOAD_ORDER[:-1]]
-    results.append(load_fact(spark, lake, run_date, fact_mode))
+    if fact_mode == "append_new_files":
+        from cartmill.streaming.append import append_new_files
+
+        results.append(append_new_files(spark, lake, **options))
+    else:
+        results.append(load_fact(spark, lake, run_date, fact_mode))
     return spark.createDataFrame(results, RESULT_SCHEMA)
 
 
 def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: int = 0) -> tuple:
     """Insert a DataFrame's rows into a gold table, with the same checks.
 
-    Fact rows go to a folder of their own numbered `load`; using a number again fails
-    instead of adding the rows twice.
+    Fact rows go to a folder of their own numbered `load`, laid out as every load's are;
+    using a number again fails instead of adding the rows twice. Dimension rows are added as
+    they are: a key that is there already is there twice then, which the audits report.
     """
-    table = TABLES[name]
+    spark, table = rows.sparkSession, TABLES[name]
     batch = f"rows-{load:05d}"
     if table is FACT_ORDERS:
-        good = accepted(rows, table).select(
-            line_key(ROWS, load).alias("order_line_id"),
-            *[c.name for c in table.fed_columns],
-            F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
-        )
-        path = f"{lake.gold(name)}/run_date={run_date.isoformat()}/batch={batch}"
-        mode = "errorifexists"
+        first = begin_keys(spark, lake, f"{run_date}/{batch}")
+        # Not from files, so there is no place in a file to break ties by: the row's own values do.
+        values = [F.col(f"`{c}`").cast("string") for c in rows.columns]
+        staged = rows.withColumns({"run_date": F.lit(run_date), "_tie": F.xxhash64(*values)})
+        good = _fact_rows(staged, first, batch).drop("run_date", "batch")
+        path, mode = lake.load_folder(name, run_date, batch), "errorifexists"
+        last = F.max("order_line_id")
     else:
-        good, path, mode = accepted(rows, table), lake.gold(name), "append"
-    good, seen = _count(good, f"rows_{name}")
+        good, path, mode, last = accepted(rows, table), lake.gold(name), "append", F.max(F.lit(None).cast("bigint"))
+    seen = Observation(f"rows_{name}")
+    good = good.observe(seen, F.count(F.lit(1)).alias("rows"), last.alias("last"))
     good.write.mode(mode).option("compression", "snappy").parquet(path)
+    if table is FACT_ORDERS:
+        found = seen.get["last"]
+        _note(spark, lake, f"{run_date}/{batch}", first, found if found is not None else first - 1)
     bad = _write_rejects(rows, lake, table, run_date, batch)
+    follow(spark, lake, name)
     return name, seen.get["rows"], bad
 
 
@@ -262,11 +364,38 @@ def read_rejects(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(lake.rejects(name))
 
 
+def _catalog_name(spark: SparkSession, name: str) -> str:
+    """The catalog's table, also where a view of the session has its name."""
+    return f"spark_catalog.`{spark.catalog.currentDatabase()}`.`{name}`"
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
+def _catalog_location(spark: SparkSession, name: str) -> str | None:
+    full = _catalog_name(spark, name)
+    if not spark.catalog.tableExists(full):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").collect()
+    return _qualified(spark, rows[0]["data_type"]) if rows else None
+
+
 def create_tables(spark: SparkSession, lake: Lake, suffix: str = "") -> list[str]:
-    """Register the gold tables in the session catalog over their folders."""
+    """Register the gold tables in the session catalog over their folders, with the folders
+    of the fact that are there. A table of that name over another lake is let go of (its
+    files stay)."""
     names = []
     for table in LOAD_ORDER:
         name = f"{table.name}{suffix}"
-        spark.sql(table.create_sql(name, lake.gold(table.name)))
+        full, at = _catalog_name(spark, name), _catalog_location(spark, name)
+        if at is not None and at != _qualified(spark, lake.gold(table.name)):
+            spark.sql(f"DROP TABLE {full}")
+        spark.sql(table.create_sql(full, lake.gold(table.name)))
+        if table.partition_by:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(lake.gold(table.name))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+            spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
         names.append(name)
     return names

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartmill.functions.clean import exact_mean
@@ -79,17 +79,24 @@ def revenue_by_category(star: Star) -> DataFrame:
 def top_products(star: Star) -> DataFrame:
     """The ten best ranks by revenue; a tie at the end gives more than ten rows.
 
-    The rank is cut in each partition first, so the one task that ranks everything sees
-    only candidates.
+    Ranks are given to revenue values: a value's rank is one more than the products above
+    it, so the ten highest values with their numbers of products settle all ranks, however
+    many products share a value.
     """
     sold = star["fact_orders"].groupBy("product_id").agg(
         _units().alias("units_sold"), _revenue().alias("revenue_usd")
     )
     product = star["dim_product"].select("product_id", "name", "category", "price_usd")
-    ranked = sold.join(product, "product_id").withColumn(
-        "revenue_rank", F.rank().over(Window.orderBy(F.desc("revenue_usd")))
-    )
-    return ranked.where(F.col("revenue_rank") <= TOP).select(
+    known = sold.join(product, "product_id")
+    values = known.groupBy(F.col("revenue_usd").alias("_value")).agg(F.count("*").alias("_products"))
+    best = values.orderBy(F.desc_nulls_last("_value")).limit(TOP)
+    # One task, over TOP values.
+    above = Window.orderBy(F.desc_nulls_last("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = best.select(
+        "_value", (F.coalesce(F.sum("_products").over(above), F.lit(0)) + 1).cast("int").alias("revenue_rank")
+    ).where(F.col("revenue_rank") <= TOP)
+    ranked = known.join(F.broadcast(ranks), known["revenue_usd"].eqNullSafe(F.col("_value")))
+    return ranked.select(
         "product_id",
         F.col("name").alias("product_name"),
         "category",
@@ -116,20 +123,25 @@ def customer_ltv(star: Star) -> DataFrame:
     """Per customer: orders, value, first and last day, days between them.
 
     Aggregated by customer before the customer columns are joined on, which then needs
-    no further shuffle of the fact.
+    no further shuffle of the fact. Date keys order as their days do, so only the first and
+    the last key of each customer are turned into days.
     """
     lines = star["fact_orders"].select("order_id", "customer_id", "date_id", "quantity", "total_usd")
-    dates = star["dim_date"].select("date_id", "full_date")
+
+    def day(key: str) -> Column:
+        return F.make_date(F.expr(f"{key} div 10000"), F.expr(f"{key} div 100 % 100"), F.expr(f"{key} % 100"))
+
     totals = (
-        lines.join(dates, "date_id")
+        lines.join(star["dim_date"].select("date_id"), "date_id", "left_semi")
         .groupBy("customer_id")
         .agg(
             _orders(),
             _units().alias("total_units"),
             _revenue().alias("lifetime_value_usd"),
-            F.min("full_date").alias("first_order_date"),
-            F.max("full_date").alias("last_order_date"),
+            F.min("date_id").alias("_first"),
+            F.max("date_id").alias("_last"),
         )
+        .withColumns({"first_order_date": day("_first"), "last_order_date": day("_last")})
     )
     return totals.join(star["dim_customer"], "customer_id").select(
         "customer_id",
@@ -152,15 +164,15 @@ def weekly_revenue(star: Star) -> DataFrame:
     share a week number and then one row. `week_start` is the week's first day with
     sales, and weeks without sales are not filled in.
     """
-    lines = star["fact_orders"].select("order_id", "date_id", "total_usd")
+    orders = star["fact_orders"].groupBy("date_id", "order_id").agg(F.sum("total_usd").alias("_sum"))
     dates = star["dim_date"].select(
         "date_id", "full_date", "year", F.weekofyear("full_date").alias("week_num")
     )
     weeks = (
-        lines.join(dates, "date_id")
+        orders.join(dates, "date_id")
         .groupBy("year", "week_num")
         .agg(
-            F.min("full_date").alias("week_start"), _orders(), _revenue().alias("revenue_usd")
+            F.min("full_date").alias("week_start"), _orders(), F.sum("_sum").cast(USD).alias("revenue_usd")
         )
     )
     # One task, but it sees one row per week of the calendar, whatever the fact's size.
@@ -185,7 +197,8 @@ def read_star(spark: SparkSession, lake: Lake) -> Star:
 
 def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
     """(Re)define the tables and reports as views of the session; optionally also store
-    each report as Parquet. Reports always read the whole gold fact."""
+    each report as Parquet. Reports always read the whole gold fact. Every load refreshes
+    the views, as each holds a listing of its files (load.follow)."""
     star = read_star(spark, lake)
     for name, rows in star.items():
         rows.createOrReplaceTempView(name)
@@ -194,4 +207,5 @@ def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[
         result.createOrReplaceTempView(name)
         if materialise:
             result.write.mode("overwrite").parquet(lake.report(name))
+    load.PUBLISHED.update((*star, *REPORTS))
     return list(REPORTS)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartmill.frames import Frames
 from cartmill.operators import dims, enrich, facts, load, reports
@@ -40,14 +41,17 @@ def silver_tables(feed: Mapping[str, DataFrame]) -> Frames:
             "dim_customer": lambda: dims.dim_customer(feed["users"]),
             "dim_date": lambda: dims.dim_date(feed["cart_days"]),
             "dim_currency": lambda: dims.dim_currency(feed["fx_rates"]),
-            "fact_orders": lambda: facts.fact_orders(
-                feed["cart_lines"], dims.dim_product(feed["products"])
-            ),
+            "fact_orders": lambda: priced(feed["cart_lines"], dims.dim_product(feed["products"])),
             "dim_country": lambda: feed["countries"],
         }
     )
 
 
+def priced(cart_lines: DataFrame, product: DataFrame) -> DataFrame:
+    """Order lines with the prices of the product entries that gold takes."""
+    return facts.fact_orders(cart_lines, product, load.fits(product, TABLES["dim_product"]))
+
+
 def gold(silver_table: Callable[[str], DataFrame]) -> Frames:
     """Gold rows of every table, nothing written. Columns the load assigns (line key,
     load time) are absent."""
@@ -68,17 +72,40 @@ def star(feed: Mapping[str, DataFrame]) -> Frames:
     return gold(silver_tables(feed).__getitem__)
 
 
-def land_incoming(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, str]:
-    """Land the run date's raw documents from the drop folder."""
-    return {
-        source: bronze.land(
-            bronze.read_documents(spark, lake.incoming(source, run_date), listed=source != "fx_rates"),
-            lake,
-            source,
-            run_date,
-        )
-        for source in SOURCES
+DOCUMENT, LINES = "document", "lines"
+
+
+def land_incoming(
+    spark: SparkSession, lake: Lake, run_date: date, formats: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """Land the run date's raw feeds from the drop folder.
+
+    A feed is a document (a list, for fx_rates an object), or in `formats` lines: JSON lines,
+    which many tasks can read. Documents that can't be read raise before anything is landed;
+    a single bad element or line doesn't.
+    """
+    formats = {source: (formats or {}).get(source, DOCUMENT) for source in SOURCES}
+    odd = {s: f for s, f in formats.items() if f not in (DOCUMENT, LINES)}
+    if odd:
+        raise ValueError(f"unknown formats: {odd}")
+    bad = {
+        source: found
+        for source, form in formats.items()
+        if form == DOCUMENT
+        and (found := bronze.unreadable(spark, lake.incoming(source, run_date), source != "fx_rates"))
     }
+    if bad:
+        raise ValueError(f"unreadable documents, nothing was landed: {bad}")
+    landed = {}
+    for source, form in formats.items():
+        path = lake.incoming(source, run_date)
+        elements = (
+            bronze.read_lines(spark, path)
+            if form == LINES
+            else bronze.read_documents(spark, path, listed=source != "fx_rates")
+        )
+        landed[source] = bronze.land(elements, lake, source, run_date)
+    return landed
 
 
 def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, tuple[str, int]]:
@@ -91,10 +118,9 @@ def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, t
     carts = bronze.carts(elements["carts"])
     written = {"carts": silver.write(carts, lake, "carts", run_date)}
     carts = silver.read(spark, lake, "carts", run_date)
-    broken = carts.where("unreadable IS NOT NULL").selectExpr(
-        "array('not JSON') AS reasons", "unreadable AS source_row"
-    )
-    load.keep_rejects(broken, lake, "carts", run_date)
+    load.keep_rejects(bronze.undated(carts), lake, "carts", run_date)
+    for source in ("products", "users", "countries", "fx_rates"):
+        load.keep_rejects(bronze.broken(elements[source]), lake, source, run_date)
     feed = (
         extract(elements)
         .replaced("cart_days", bronze.cart_days(carts))
@@ -104,24 +130,28 @@ def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, t
     for name in ("dim_product", "dim_customer", "dim_date", "dim_currency", "dim_country"):
         written[name] = silver.write(tables[name], lake, name, run_date)
     product = silver.read(spark, lake, "dim_product", run_date)
-    fact = facts.fact_orders(feed["cart_lines"], product)
+    fact = priced(feed["cart_lines"], product)
     written["fact_orders"] = silver.write(fact, lake, "fact_orders", run_date)
     return written
 
 
 def load_countries(spark: SparkSession, lake: Lake, run_date: date) -> None:
-    """Refresh each customer's country, region and currency."""
+    """Refresh country, region and currency of each customer of gold."""
     customers = silver.read(spark, lake, "dim_customer", run_date)
-    latest = facts.last_per_key(customers.where("customer_id is not null"), "customer_id")
+    latest = load.gold_rows(
+        customers, TABLES["dim_customer"], silver.RECENCY["dim_customer"], keep=("country_code",)
+    )
     countries = silver.read(spark, lake, "dim_country", run_date)
     enriched = enrich.customer_country(latest, countries).select(*COUNTRY_COLUMNS)
     enriched.write.mode("overwrite").option("compression", "snappy").parquet(
         lake.gold("customer_country")
     )
+    load.follow(spark, lake, "customer_country")
 
 
 def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
-    """All views: tables, the six reports, customer countries and orders by country."""
+    """All views: tables, the six reports, customer countries and orders by country; and the
+    catalog's tables. Loads keep both up to date from then on."""
     names = reports.publish(spark, lake, materialise)
     customers = spark.read.schema(
         "customer_id bigint, country_code string, country string, region string, "
@@ -132,6 +162,8 @@ def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[
     by_country.createOrReplaceTempView("rpt_orders_by_country")
     if materialise:
         by_country.write.mode("overwrite").parquet(lake.report("rpt_orders_by_country"))
+    load.create_tables(spark, lake)
+    load.PUBLISHED.update((*TABLES, *names, "customer_country", "rpt_orders_by_country"))
     return [*names, "rpt_orders_by_country"]
 
 
@@ -142,22 +174,41 @@ def run(
     elements: dict[str, DataFrame] | None = None,
     fact_mode: str = "snapshot",
     materialise: bool = False,
+    formats: Mapping[str, str] | None = None,
+    **stream: str,
 ) -> DataFrame:
-    """One daily run; returns loaded and rejected rows per table.
+    """One daily run; returns staged, loaded, rejected and superseded rows per table.
 
-    Sources come from the drop folder, or from `elements` (JSON elements per source).
-    Repeating a run date replaces what it wrote at every layer.
+    The row `carts` counts carts: dated ones, and those turned away for want of a readable
+    date. Sources come from the drop folder, in the given `formats`, or from `elements` (JSON
+    elements per source). Repeating a run date replaces what it wrote at every layer, but in
+    the mode append_new_files, which loads every silver file once; `stream` are its options.
     """
+    if fact_mode not in load.FACT_MODES:
+        raise ValueError(f"{fact_mode} is none of {load.FACT_MODES}")
     if elements is None:
-        land_incoming(spark, lake, run_date)
+        land_incoming(spark, lake, run_date, formats)
     else:
         for source in SOURCES:
             bronze.land(elements[source], lake, source, run_date)
     build_silver(spark, lake, run_date)
-    results = load.load_all(spark, lake, run_date, fact_mode)
+    results = load.load_all(spark, lake, run_date, fact_mode, **stream)
     load_countries(spark, lake, run_date)
     publish(spark, lake, materialise)
-    return results
+    return cart_counts(spark, lake, run_date).unionByName(results)
+
+
+def cart_counts(spark: SparkSession, lake: Lake, run_date: date) -> DataFrame:
+    """How many places of the feed had carts, and how many of them a readable date."""
+    carts = silver.read(spark, lake, "carts", run_date).where("nth = 0")
+    places = carts.groupBy(*bronze.FEED_ORDER).agg(F.max("reason").alias("reason"))
+    return places.agg(
+        F.lit("carts").alias("table_name"),
+        F.count("*").alias("staged"),
+        F.count_if(F.col("reason").isNull()).alias("loaded"),
+        F.count("reason").alias("rejected"),
+        F.lit(0).cast("bigint").alias("superseded"),
+    )
 
 
 def ask(spark: SparkSession, sql: str, args: dict | list | None = None) -> DataFrame:

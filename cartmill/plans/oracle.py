@@ -157,6 +157,71 @@ _KEPT_PRODUCTS = (
     "(PARTITION BY product_id ORDER BY nth DESC) AS r FROM entry WHERE price_usd IS NOT NULL) WHERE r = 1)"
 )
 
+# Gold over the faulty feed: its products and customers.
+_GOLD_DIRTY = (
+    _PART,
+    _CUSTOMER,
+    _DIRTY_USER,
+    _STAGED,
+    _PRICED,
+    _KEPT_PRODUCTS,
+    _DIRTY_DATE,
+    """
+product_d AS (
+  SELECT product_id, name, category, CAST(kept.price_usd AS DECIMAL(10,2)) AS price_usd, rating_rate
+  FROM part_c JOIN kept USING (product_id)),
+customer_d AS (
+  SELECT customer_id, first_name, CASE WHEN customer_id % 11 = 0 THEN '' ELSE last_name END AS last_name,
+         CASE WHEN customer_id % 7 <> 0 THEN email END AS email,
+         CASE WHEN placed THEN city ELSE '' END AS city,
+         CAST(CASE WHEN placed THEN read_lat ELSE 0 END AS DECIMAL(9,6)) AS lat,
+         CAST(CASE WHEN placed THEN lon ELSE 0 END AS DECIMAL(9,6)) AS lon, placed
+  FROM dirty_user WHERE NOT placed OR read_lat IS NOT NULL)""",
+)
+
+
+def _by_category(fact: str, product: str) -> str:
+    return f"""
+SELECT category, CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
+       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd,
+       {_mean(product + '.price_usd')} AS avg_product_price_usd, {_mean('rating_rate')} AS avg_rating
+FROM {fact} JOIN {product} USING (product_id) GROUP BY category"""
+
+
+def _top(fact: str, product: str) -> str:
+    return f"""
+SELECT product_id, name AS product_name, category, price_usd, units_sold, revenue_usd, revenue_rank
+FROM (SELECT product_id, units_sold, revenue_usd, name, category, p.price_usd,
+             CAST(rank() OVER (ORDER BY revenue_usd DESC) AS INTEGER) AS revenue_rank
+      FROM (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS units_sold,
+                   CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
+            FROM {fact} GROUP BY product_id) JOIN {product} p USING (product_id))
+WHERE revenue_rank <= 10"""
+
+
+def _by_city(fact: str, customer: str) -> str:
+    return f"""
+SELECT city, lat, lon, CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
+       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
+FROM {fact} JOIN {customer} USING (customer_id) GROUP BY city, lat, lon"""
+
+
+def _ltv(fact: str, customer: str, dates: str) -> str:
+    return f"""
+SELECT customer_id, first_name || ' ' || last_name AS full_name, email, city,
+       CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
+       CAST(SUM(quantity) AS BIGINT) AS total_units,
+       CAST(SUM(total_usd) AS {_USD}) AS lifetime_value_usd,
+       MIN(full_date) AS first_order_date, MAX(full_date) AS last_order_date,
+       CAST(date_diff('day', MIN(full_date), MAX(full_date)) AS INTEGER) AS customer_tenure_days
+FROM {fact} JOIN {customer} USING (customer_id) JOIN {dates} USING (date_id)
+GROUP BY customer_id, first_name, last_name, email, city"""
+
+
+def _dated(fact: str, dates: str) -> str:
+    return f"dated AS (SELECT full_date AS d, order_id, total_usd FROM {fact} JOIN {dates} USING (date_id))"
+
+
 ORACLE: dict[str, str] = {
     "dim_product": _with(_PART) + "SELECT * FROM part_c",
     "dim_customer": _with(_CUSTOMER) + "SELECT * FROM customer_c",
@@ -216,6 +281,13 @@ SELECT n_nationkey AS pos, 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS
 SELECT product_id, name, category, CAST(kept.price_usd AS DECIMAL(10,2)) AS price_usd,
        rating_rate, rating_count
 FROM part_c JOIN kept USING (product_id)""",
+    "bronze_documents_roundtrip": _with(_FACT) + "SELECT * FROM fact_c",
+    "bronze_unreadable": """
+SELECT 'products' AS source, COUNT(*) AS rows FROM part WHERE p_partkey % 97 = 0
+UNION ALL SELECT 'carts', COUNT(*) FROM orders WHERE o_orderkey % 97 = 0
+UNION ALL SELECT 'users', COUNT(*) FROM customer WHERE c_custkey % 97 = 0
+UNION ALL SELECT 'countries', COUNT(*) FROM nation WHERE n_nationkey % 97 = 0
+UNION ALL SELECT 'fx_rates', 0""",
     "silver_roundtrip": _with(_PART) + "SELECT * FROM part_c",
     "load_by_name": """
 SELECT p_partkey AS product_id, p_name AS name, p_type AS category,
@@ -227,8 +299,29 @@ FROM part""",
         f"SELECT '{reason}' AS reason, COUNT(*) AS rows FROM staged WHERE {test} HAVING COUNT(*) > 0"
         for reason, test in _REASONS.items()
     ),
+    "reject_values": """
+WITH product AS (
+  SELECT 'products' AS source,
+         concat_ws(', ', CASE WHEN p_partkey % 83 = 0 THEN 'product_id: not a whole number' END,
+           CASE WHEN p_partkey % 59 = 0 THEN 'price_usd: not a number' END,
+           CASE WHEN p_partkey % 67 = 0 THEN 'rating_rate: not a number' END,
+           CASE WHEN p_partkey % 71 = 0 THEN 'rating_count: not a whole number' END) AS reasons,
+         CASE WHEN p_partkey % 59 = 0 THEN 'n/a' ELSE '1.10' END AS price, CAST(NULL AS VARCHAR) AS quantity
+  FROM part),
+line AS (
+  SELECT 'lines' AS source,
+         concat_ws(', ', CASE WHEN l_partkey % 83 = 0 THEN 'product_id: not a whole number' END,
+           CASE WHEN l_partkey % 59 = 0 OR l_partkey % 67 = 0 THEN 'quantity: not a whole number' END) AS reasons,
+         CAST(NULL AS VARCHAR) AS price,
+         CASE WHEN l_partkey % 59 = 0 THEN '2.7' WHEN l_partkey % 67 = 0 THEN 'true' ELSE '2' END AS quantity
+  FROM lineitem)
+SELECT source, reasons, price, quantity, COUNT(*) AS rows
+FROM (SELECT * FROM product UNION ALL SELECT * FROM line) WHERE reasons <> '' GROUP BY ALL""",
     "load_summary": _with(_CUSTOMER, _DIRTY_USER, _STAGED, _PRICED, _KEPT_PRODUCTS, _DIRTY_DATE) + """,
 counted AS (
+  SELECT 'carts' AS table_name, COUNT(*) AS staged, COUNT(*) FILTER (NOT """ + _BAD_DATE + """) AS loaded,
+         COUNT(*) FILTER (""" + _BAD_DATE + """) AS rejected FROM orders
+  UNION ALL
   SELECT 'dim_product' AS table_name, (SELECT COUNT(*) FROM entry) AS staged,
          (SELECT COUNT(*) FROM kept) AS loaded,
          (SELECT COUNT(*) FROM entry WHERE price_usd IS NULL) AS rejected
@@ -245,6 +338,14 @@ SELECT table_name, staged, loaded, rejected, staged - loaded - rejected AS super
     "fact_replace_run": _with(_FACT, _STAGED)
     + f"SELECT DATE '2024-01-05' AS run_date, {_LINE_TOTALS} FROM loaded UNION ALL "
     f"SELECT DATE '2024-01-06', {_LINE_TOTALS} FROM fact_c",
+    "fact_replace_run_empty": _with(_FACT)
+    + f"SELECT DATE '2024-01-06' AS run_date, {_LINE_TOTALS} FROM fact_c",
+    "views_after_reload": _with(_FACT, _STAGED)
+    + """,
+both_loads AS (SELECT quantity FROM loaded UNION ALL SELECT quantity FROM fact_c),
+seen AS (SELECT COUNT(*) AS lines, CAST(SUM(quantity) AS BIGINT) AS units FROM both_loads)
+SELECT 'view' AS shown, lines, units FROM seen UNION ALL SELECT 'catalog', lines, units FROM seen
+UNION ALL SELECT 'report', units, units FROM seen""",
     "fact_snapshot": _with(_FACT) + f"SELECT DATE '2024-01-06' AS run_date, {_LINE_TOTALS} FROM fact_c",
     "fact_append_files_once": _with(_FACT, _STAGED)
     + f"SELECT DATE '2024-01-05' AS run_date, {_LINE_TOTALS} FROM loaded UNION ALL "
@@ -254,43 +355,36 @@ SELECT batch, COUNT(*) AS lines, COUNT(*) AS line_keys, CAST(SUM(total_usd) AS {
 FROM fact_c, (VALUES ('rows-00000'), ('rows-00001')) AS b(batch) GROUP BY batch""",
     "fact_defaults": _with(_FACT)
     + "SELECT date_id, COUNT(*) AS lines, COUNT(*) AS units, COUNT(*) AS stamped FROM fact_c GROUP BY date_id",
-    "line_key_unique": "SELECT COUNT(*) AS lines, COUNT(*) AS line_keys, CAST(0 AS BIGINT) AS null_keys FROM lineitem",
+    "line_key_unique": _with(_FACT, _STAGED)
+    + """,
+counted AS (
+  SELECT (SELECT COUNT(*) FROM loaded) AS dirty, (SELECT COUNT(*) FROM fact_c) AS clean)
+SELECT 'run' AS loaded_by, dirty + 2 * clean AS lines, dirty + 2 * clean AS line_keys, CAST(0 AS BIGINT) AS null_keys
+FROM counted UNION ALL SELECT 'file', dirty + clean, dirty + clean, 0 FROM counted""",
     "load_timestamp": "SELECT COUNT(*) AS lines, COUNT(*) AS stamped_lines FROM lineitem",
     "fact_clustered_scan": _with(_FACT)
     + f"SELECT date_id, product_id, {_LINE_TOTALS} FROM fact_c GROUP BY date_id, product_id",
-    "fact_sample": "SELECT COUNT(*) AS rows FROM (SELECT * FROM lineitem LIMIT 5)",
+    "fact_sample": _with(_FACT)
+    + "SELECT * FROM fact_c ORDER BY order_id, date_id, product_id, customer_id, quantity, unit_price_usd, total_usd LIMIT 5",
     "param_sql": _with(_PART)
     + "SELECT category, price_usd >= 950 AS is_dear, COUNT(*) AS products FROM part_c GROUP BY 1, 2",
     "rpt_daily_revenue": _with(_FACT, _DATE) + _daily("fact_c", "date_c"),
-    "rpt_revenue_by_category": _with(_FACT, _PART) + f"""
-SELECT category, CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
-       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd,
-       {_mean('price_usd')} AS avg_product_price_usd, {_mean('rating_rate')} AS avg_rating
-FROM fact_c JOIN part_c USING (product_id) GROUP BY category""",
-    "rpt_top_products": _with(_FACT, _PART) + f"""
-SELECT product_id, name AS product_name, category, price_usd, units_sold, revenue_usd, revenue_rank
-FROM (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS units_sold,
-             CAST(SUM(total_usd) AS {_USD}) AS revenue_usd,
-             CAST(rank() OVER (ORDER BY SUM(total_usd) DESC) AS INTEGER) AS revenue_rank
-      FROM fact_c GROUP BY product_id) JOIN part_c USING (product_id)
-WHERE revenue_rank <= 10""",
-    "rpt_orders_by_city": _with(_FACT, _CUSTOMER) + f"""
-SELECT city, lat, lon, CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
-       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
-FROM fact_c JOIN customer_c USING (customer_id) GROUP BY city, lat, lon""",
-    "rpt_customer_ltv": _with(_FACT, _CUSTOMER, _DATE) + f"""
-SELECT customer_id, first_name || ' ' || last_name AS full_name, email, city,
+    "rpt_revenue_by_category": _with(_FACT, _PART) + _by_category("fact_c", "part_c"),
+    "rpt_top_products": _with(_FACT, _PART) + _top("fact_c", "part_c"),
+    "rpt_orders_by_city": _with(_FACT, _CUSTOMER) + _by_city("fact_c", "customer_c"),
+    "rpt_customer_ltv": _with(_FACT, _CUSTOMER, _DATE) + _ltv("fact_c", "customer_c", "date_c"),
+    "rpt_weekly_revenue": _with(_FACT, _DATE, _dated("fact_c", "date_c")) + _WEEK,
+    "rpt_revenue_by_category_dirty": _with(*_GOLD_DIRTY) + _by_category("loaded", "product_d"),
+    "rpt_top_products_dirty": _with(*_GOLD_DIRTY) + _top("loaded", "product_d"),
+    "rpt_orders_by_city_dirty": _with(*_GOLD_DIRTY) + _by_city("loaded", "customer_d"),
+    "rpt_customer_ltv_dirty": _with(*_GOLD_DIRTY) + _ltv("loaded", "customer_d", "date_d"),
+    "rpt_weekly_revenue_dirty": _with(*_GOLD_DIRTY, _dated("loaded", "date_d")) + _WEEK,
+    "rpt_orders_by_country_dirty": _with(*_GOLD_DIRTY) + f"""
+SELECT CASE WHEN placed THEN n_name END AS country, CASE WHEN placed THEN r_name END AS region,
        CAST(COUNT(DISTINCT order_id) AS BIGINT) AS total_orders,
-       CAST(SUM(quantity) AS BIGINT) AS total_units,
-       CAST(SUM(total_usd) AS {_USD}) AS lifetime_value_usd,
-       MIN(full_date) AS first_order_date, MAX(full_date) AS last_order_date,
-       CAST(date_diff('day', MIN(full_date), MAX(full_date)) AS INTEGER) AS customer_tenure_days
-FROM fact_c JOIN customer_c USING (customer_id) JOIN date_c USING (date_id)
-GROUP BY customer_id, first_name, last_name, email, city""",
-    "rpt_weekly_revenue": _with(
-        _FACT, _DATE, "dated AS (SELECT full_date AS d, order_id, total_usd FROM fact_c JOIN date_c USING (date_id))"
-    )
-    + _WEEK,
+       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
+FROM loaded JOIN customer_d USING (customer_id) JOIN customer ON customer_id = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
     "top_products_ties": f"""
 SELECT product_id, revenue_usd, revenue_rank
 FROM (SELECT l_partkey AS product_id, CAST(COUNT(*) AS {_USD}) AS revenue_usd,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,6 +19,9 @@ RUNTIME = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Marks a session that has them.
+TUNED = "spark.cartmill.tuned"
+
 # Only a new session takes these: plans are built faster without a Python call site kept
 # per expression.
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -35,20 +37,18 @@ def build_session(app: str = "cartmill", master: str | None = None, **conf: str)
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply RUNTIME to a session somebody else made; sizing stays as it was set."""
-    for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
+    """Apply RUNTIME once to a session somebody else made; what is changed later stays."""
+    if spark.conf.get(TUNED, None) is None:
+        for key, value in {**RUNTIME, TUNED: "true"}.items():
+            spark.conf.set(key, value)
     return spark
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared one the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="cartmill-")
-    return f"{base.rstrip('/')}/cartmill/{uuid.uuid4().hex}"
+    """A fresh folder below spark.checkpoint.dir, or below the warehouse where that is unset:
+    both are shared by all executors. It goes when the driver's JVM ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/cartmill/{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path

@@ -1,8 +1,10 @@
-"""Bronze: JSON elements as they came, one row each, per source and run date.
+"""Bronze: JSON elements, one row each, per source and run date.
 
 A row is one element of the source's list (the whole document where the source is a
-single object) with its place in the feed. The text stays JSON; Parquet around it keeps
-the snapshot compressed and splittable, which one long document or gzip lines are not.
+single object) with its place in the feed. Elements that come as lines keep their text byte
+for byte. Elements of a list document keep their values, also numbers of up to 38 digits, but
+not their spelling: 1.10 becomes 1.1. Parquet around them keeps the snapshot compressed and
+splittable, which one long document or gzip lines are not.
 """
 
 from __future__ import annotations
@@ -24,16 +26,34 @@ def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataF
     """Elements of whole JSON documents: each is a list (listed) or one object.
 
     A document is one task's work, so large feeds should come as many documents or as
-    lines (read_lines).
+    lines (read_lines). A document that is no JSON, or no list, gives no rows: see unreadable.
     """
     docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc"), F.lit(0).cast("bigint").alias("block"), "value"
     )
     if not listed:
         return docs.select("doc", "block", F.lit(0).cast("bigint").alias("pos"), F.col("value").alias("body"))
-    elements = F.from_json("value", "array<string>")
-    return docs.select("doc", "block", F.posexplode(elements).alias("pos", "body")).select(
-        "doc", "block", F.col("pos").cast("bigint").alias("pos"), "body"
+    elements = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
+    return docs.select("doc", "block", F.posexplode(elements).alias("pos", "element")).select(
+        "doc",
+        "block",
+        F.col("pos").cast("bigint").alias("pos"),
+        F.coalesce(F.to_json("element"), F.lit("null")).alias("body"),
+    )
+
+
+def unreadable(spark: SparkSession, path: str, listed: bool = True) -> list[str]:
+    """Up to ten of the documents that are not JSON, or not a list (not listed: an object)."""
+    kind = F.schema_of_variant(F.try_parse_json("value"))
+    fits = kind.startswith("ARRAY<") if listed else kind.startswith("OBJECT<")
+    broken = spark.read.text(path, wholetext=True).where(~F.coalesce(fits, F.lit(False)))
+    return [r["doc"] for r in broken.select(F.col("_metadata.file_path").alias("doc")).limit(10).collect()]
+
+
+def broken(elements: DataFrame) -> DataFrame:
+    """Elements that are not JSON, as rejects."""
+    return elements.where(F.try_parse_json("body").isNull()).selectExpr(
+        "array('not JSON') AS reasons", "body AS source_row"
     )
 
 
@@ -80,23 +100,45 @@ def _text(path: str) -> Column:
     return F.when(_missing(path), F.lit("")).otherwise(_get(path))
 
 
+def _whole(path: str, kind: str = "bigint", v: str = "v") -> Column:
+    """A whole number; null for anything else, as 1.9, "x" or true. 2.0 and "2" are whole."""
+    exact = _get(path, "string", v).try_cast("decimal(38,18)")
+    return F.when(exact == F.floor(exact), exact).try_cast(kind)
+
+
+def _fault(name: str, what: str, text: Column, value: Column) -> Column:
+    """`name: not what` where something is given that isn't it."""
+    return F.when(text.isNotNull() & value.isNull(), F.lit(f"{name}: not {what}"))
+
+
+def _faults(*faults: Column) -> Column:
+    return F.array_compact(F.array(*faults)).alias("_faults")
+
+
 def products(elements: DataFrame) -> DataFrame:
     """A rating that is not an object gives null rate and count."""
     return _parsed(elements).select(
         *FEED_ORDER,
-        _get("$.id", "bigint").alias("id"),
+        _whole("$.id").alias("id"),
         _get("$.title").alias("title"),
         _get("$.category").alias("category"),
         _get("$.price").alias("price"),
         _get("$.rating.rate").alias("rating_rate"),
         _get("$.rating.count").alias("rating_count"),
+        _faults(
+            _fault("product_id", "a whole number", _get("$.id"), _whole("$.id")),
+            _fault("price_usd", "a number", _get("$.price"), clean.number(_get("$.price"))),
+            _fault("rating_rate", "a number", _get("$.rating.rate"), clean.number(_get("$.rating.rate"))),
+            _fault("rating_count", "a whole number", _get("$.rating.count"), _whole("$.rating.count")),
+        ),
+        F.col("body").alias("_raw"),
     )
 
 
 def users(elements: DataFrame) -> DataFrame:
     return _parsed(elements).select(
         *FEED_ORDER,
-        _get("$.id", "bigint").alias("id"),
+        _whole("$.id").alias("id"),
         _text("$.name.firstname").alias("first_name"),
         _text("$.name.lastname").alias("last_name"),
         _text("$.email").alias("email"),
@@ -105,6 +147,12 @@ def users(elements: DataFrame) -> DataFrame:
         _get("$.address.geolocation.lat").alias("lat"),
         _get("$.address.geolocation.long").alias("lon"),
         _get("$.address.country").alias("country_code"),
+        _faults(
+            _fault("customer_id", "a whole number", _get("$.id"), _whole("$.id")),
+            _fault("lat", "a number", _get("$.address.geolocation.lat"), clean.position(_get("$.address.geolocation.lat"))),
+            _fault("lon", "a number", _get("$.address.geolocation.long"), clean.position(_get("$.address.geolocation.long"))),
+        ),
+        F.col("body").alias("_raw"),
     )
 
 
@@ -115,33 +163,61 @@ def carts(elements: DataFrame) -> DataFrame:
     Days and order lines both come from this, so that the largest source is parsed once.
     Cart fields are read before the items are unfolded, so their cost is per cart; items
     of undated carts are emptied, not filtered, or Spark would parse each cart again for
-    the filter. An absent quantity is 1, a null one stays null. An element that is not
-    JSON keeps its text in `unreadable`.
+    the filter. An absent quantity is 1, a null one stays null. A cart that is not JSON, or
+    has no readable date, keeps its text in `unreadable` and says why in `reason`; a line
+    with a fault keeps its cart's place in the feed, its item and what is wrong.
     """
+    order, customer = _get("$.id"), _get("$.userId")
     heads = _parsed(elements).select(
-        _get("$.id", "bigint").alias("order_id"),
-        _get("$.userId", "bigint").alias("customer_id"),
+        *FEED_ORDER,
+        _whole("$.id").alias("order_id"),
+        _whole("$.userId").alias("customer_id"),
         clean.day(_get("$.date")).alias("day"),
         _get("$.products", "array<variant>").alias("items"),
-        F.when(F.col("v").isNull(), F.col("body")).alias("unreadable"),
+        F.when(F.col("v").isNull(), F.lit("not JSON"))
+        .when(F.coalesce(F.btrim(_get("$.date")), F.lit("")) == "", F.lit("date: missing"))
+        .otherwise(F.lit("date: not a date"))
+        .alias("reason"),
+        _faults(
+            _fault("order_id", "a whole number", order, _whole("$.id")),
+            _fault("customer_id", "a whole number", customer, _whole("$.userId")),
+        ),
+        "body",
     )
+    dated = F.col("day").isNotNull()
     unfolded = heads.select(
+        *FEED_ORDER,
         "order_id",
         "customer_id",
         "day",
-        "unreadable",
-        F.explode_outer(F.when(F.col("day").isNotNull(), F.col("items"))).alias("item"),
+        F.when(~dated, F.col("reason")).alias("reason"),
+        F.when(~dated, F.col("body")).alias("unreadable"),
+        "_faults",
+        F.posexplode_outer(F.when(dated, F.col("items"))).alias("nth", "item"),
+    )
+    quantity = F.when(_missing("$.quantity", "item"), F.lit(1)).otherwise(_whole("$.quantity", "int", "item"))
+    faults = F.concat(
+        F.col("_faults"),
+        F.array_compact(
+            F.array(
+                _fault("product_id", "a whole number", _get("$.productId", v="item"), _whole("$.productId", v="item")),
+                _fault("quantity", "a whole number", _get("$.quantity", v="item"), quantity),
+            )
+        ),
     )
     return unfolded.select(
+        *FEED_ORDER,
         "order_id",
         "customer_id",
         "day",
-        _get("$.productId", "bigint", "item").alias("product_id"),
-        F.when(_missing("$.quantity", "item"), F.lit(1))
-        .otherwise(_get("$.quantity", "int", "item"))
-        .alias("quantity"),
+        _whole("$.productId", v="item").alias("product_id"),
+        quantity.alias("quantity"),
         F.col("item").isNotNull().alias("has_item"),
+        F.coalesce(F.col("nth"), F.lit(0)).alias("nth"),
+        "reason",
         "unreadable",
+        F.when(F.size(faults) > 0, faults).alias("_faults"),
+        F.when(F.size(faults) > 0, F.to_json("item")).alias("_raw"),
     )
 
 
@@ -150,7 +226,14 @@ def cart_days(carts: DataFrame) -> DataFrame:
 
 
 def cart_lines(carts: DataFrame) -> DataFrame:
-    return carts.where("has_item").drop("has_item", "unreadable")
+    return carts.where("has_item").drop("has_item", "nth", "reason", "unreadable")
+
+
+def undated(carts: DataFrame) -> DataFrame:
+    """Carts without a readable date, and elements that aren't JSON, as rejects."""
+    return carts.where("unreadable IS NOT NULL").selectExpr(
+        "array(reason) AS reasons", "unreadable AS source_row"
+    )
 
 
 def fx_rates(elements: DataFrame) -> DataFrame:

@@ -30,6 +30,15 @@ class Lake:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    def load_folder(self, table: str, run_date: date, batch: str, root: str | None = None) -> str:
+        """One load's own folder in a table of several loads (gold, unless `root` is given)."""
+        return f"{root or self.gold(table)}/run_date={run_date.isoformat()}/batch={batch}"
+
+    @property
+    def ledger(self) -> str:
+        """Which line keys each load has taken."""
+        return f"{self.root}/ledger"
+
     def rejects(self, table: str) -> str:
         return f"{self.root}/rejects/{table}"
 

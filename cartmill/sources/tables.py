@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from cartmill.frames import Frames
 from cartmill.sources.bronze import FEED_ORDER
 
+# Default of cart_elements: items of one cart document.
 ITEMS_PER_CART = 1000
 
-
 # Types of the input tables, so that opening them reads no file.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -36,22 +36,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame, *columns: str) -> DataFrame:
-    """Columns of a table, dealt out once where its files have fewer splits than there are
-    cores, as one file with one row group has. Input of any size worth a cluster has more,
-    and is then left as it is, without a shuffle.
-
-    Rows go by their place in the file: even whatever the values, and without the sort
-    that a round-robin deal needs to be repeatable.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    wanted = rows.select(*columns)
-    if wanted.rdd.getNumPartitions() >= cores:
-        return wanted
-    placed = rows.select(*columns, F.col("_metadata.row_index").alias("_row"))
-    return placed.repartition(cores, "_row").drop("_row")
-
-
 def _place(doc: str, pos: Column) -> list[Column]:
     return [
         F.lit(doc).alias("doc"),
@@ -106,8 +90,8 @@ def feed(spark: SparkSession, folder: str) -> Frames:
         return table(spark, folder, "orders").select(*keys, day)
 
     def cart_lines() -> DataFrame:
-        items = table(spark, folder, "lineitem")
-        lines = spread(items, "l_orderkey", "l_partkey", "l_quantity").join(
+        items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+        lines = items.join(
             carts("o_orderkey", "o_custkey").where("day is not null"),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
@@ -192,12 +176,14 @@ def product_elements(spark: SparkSession, folder: str, faulty: bool = False) ->
     return first.unionAll(second)
 
 
-def cart_elements(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
+def cart_elements(
+    spark: SparkSession, folder: str, faulty: bool = False, items_per_cart: int = ITEMS_PER_CART
+) -> DataFrame:
     """Carts with their items nested.
 
     Items are range-partitioned by order and row, sorted, and cut into runs before they
-    are collected, so no cart holds more than ITEMS_PER_CART of them however many lines
-    an order has; a longer order comes as several carts with one id.
+    are collected, so no cart holds more than items_per_cart of them however many lines
+    an order has; a longer order comes as several carts with one id, and no line is lost.
     """
     orders = table(spark, folder, "orders")
 
@@ -232,7 +218,7 @@ def cart_elements(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
         .select(
             "l_orderkey",
             item.alias("item"),
-            F.expr(f"monotonically_increasing_id() div {ITEMS_PER_CART}").alias("run"),
+            F.expr(f"monotonically_increasing_id() div {items_per_cart}").alias("run"),
         )
     )
     carts = runs.groupBy("l_orderkey", "run").agg(

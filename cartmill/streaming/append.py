@@ -6,7 +6,7 @@ so a batch repeated after a failure replaces what it had written.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartmill.operators import load
@@ -15,26 +15,43 @@ from cartmill.sources import silver
 from cartmill.sources.lake import Lake
 
 
-def append_new_files(spark: SparkSession, lake: Lake) -> None:
-    """Load what has arrived in silver since the last call, then stop."""
+def append_new_files(
+    spark: SparkSession, lake: Lake, bytes_per_trigger: int = 64 << 30, latest_age: str = "400d"
+) -> tuple:
+    """Load what has arrived in silver since the last call, then stop; returns the load's
+    result row (table, staged, loaded, rejected, superseded).
+
+    A backlog is cut into batches of about bytes_per_trigger. The driver remembers the names
+    of files up to latest_age older than the newest; a file that arrives older than that is
+    not seen, so choose it longer than any delay. The fact must be loaded in this mode alone:
+    loads that replace run dates would bring the same lines again, and are refused there.
+    """
     name = FACT_ORDERS.name
+    if load.has_loads(spark, lake, "run"):
+        raise ValueError("the fact holds lines loaded by run date, which this would add again")
     arrived = (
         spark.readStream.schema(f"{silver.SCHEMAS[name]}, run_date date")
-        .option("maxFileAge", "36500d")  # late files count, however late
+        .option("maxFileAge", latest_age)
+        .option("maxBytesPerTrigger", str(bytes_per_trigger))
         .parquet(lake.silver_root(name))
         .select("*", load.tie().alias("_tie"))
     )
+    totals = [0, 0, 0]
 
     def write(rows: DataFrame, batch_id: int) -> None:
         batch = f"stream-{batch_id:05d}"
-        load.write_fact(rows, lake, load.STREAM, batch_id, batch, "dynamic")
+        loaded = load.write_fact(spark, rows, lake, batch)
+        seen = Observation(f"rejected_{batch}")
         bad = load.rejected(rows.drop("_tie"), FACT_ORDERS).select(
             "*", F.get_json_object("source_row", "$.run_date").cast("date").alias("run_date"),
             F.lit(batch).alias("batch"),
         )
-        bad.write.mode("overwrite").partitionBy("run_date", "batch").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(lake.rejects(name))
+        bad.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(
+            "run_date", "batch"
+        ).option("partitionOverwriteMode", "dynamic").parquet(lake.rejects(name))
+        turned = seen.get["rows"]
+        for i, n in enumerate((loaded + turned, loaded, turned)):
+            totals[i] += n
 
     query = (
         arrived.writeStream.foreachBatch(write)
@@ -43,3 +60,4 @@ def append_new_files(spark: SparkSession, lake: Lake) -> None:
         .start()
     )
     query.awaitTermination()
+    return (name, *totals, 0)
