@@ -102,7 +102,8 @@ def land_incoming(
         elements = (
             bronze.read_lines(spark, path)
             if form == LINES
-            else bronze.read_documents(spark, path, listed=source != "fx_rates")
+            # The first of a country's currencies counts, so there the order of keys matters.
+            else bronze.read_documents(spark, path, source != "fx_rates", key_order=source == "countries")
         )
         landed[source] = bronze.land(elements, lake, source, run_date)
     return landed

@@ -22,9 +22,14 @@ SCHEMA = "doc string, block bigint, pos bigint, body string"
 FEED_ORDER = ("doc", "block", "pos")
 
 
-def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, listed: bool = True, key_order: bool = False
+) -> DataFrame:
     """Elements of whole JSON documents: each is a list (listed) or one object.
 
+    With key_order an element's keys stay in the order they came in, but its numbers are
+    those a double holds; else all digits of numbers stay, and keys come sorted.
+
     A document is one task's work, so large feeds should come as many documents or as
     lines (read_lines). A document that is no JSON, or no list, gives no rows: see unreadable.
     """
@@ -33,6 +38,11 @@ def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataF
     )
     if not listed:
         return docs.select("doc", "block", F.lit(0).cast("bigint").alias("pos"), F.col("value").alias("body"))
+    if key_order:
+        texts = F.from_json("value", "array<string>")
+        return docs.select("doc", "block", F.posexplode(texts).alias("pos", "body")).select(
+            "doc", "block", F.col("pos").cast("bigint").alias("pos"), F.coalesce("body", F.lit("null")).alias("body")
+        )
     elements = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     return docs.select("doc", "block", F.posexplode(elements).alias("pos", "element")).select(
         "doc",
@@ -43,11 +53,19 @@ def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataF
 
 
 def unreadable(spark: SparkSession, path: str, listed: bool = True) -> list[str]:
-    """Up to ten of the documents that are not JSON, or not a list (not listed: an object)."""
+    """Up to ten of the documents that are empty, no JSON, or no list (not listed: no object)."""
     kind = F.schema_of_variant(F.try_parse_json("value"))
     fits = kind.startswith("ARRAY<") if listed else kind.startswith("OBJECT<")
     broken = spark.read.text(path, wholetext=True).where(~F.coalesce(fits, F.lit(False)))
-    return [r["doc"] for r in broken.select(F.col("_metadata.file_path").alias("doc")).limit(10).collect()]
+    found = [r["doc"] for r in broken.select(F.col("_metadata.file_path").alias("doc")).limit(10).collect()]
+    # Spark reads no row from a file without a byte.
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True)
+    while files.hasNext() and len(found) < 10:
+        file = files.next()
+        if file.getLen() == 0 and file.getPath().getName()[0] not in "._":
+            found.append(file.getPath().toString())
+    return found
 
 
 def broken(elements: DataFrame) -> DataFrame:

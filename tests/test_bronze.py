@@ -22,8 +22,39 @@ def drop(tmp_path, name, text):
 def test_documents_keep_text_and_order(spark, tmp_path):
     path = drop(tmp_path, "p.json", '[{"b":1,"a":"x  y"},\n {"id":2}, 7]')
     found = bronze.read_documents(spark, path).orderBy("pos").collect()
-    assert [(r.pos, r.body) for r in found] == [(0, '{"b":1,"a":"x  y"}'), (1, '{"id":2}'), (2, "7")]
+    assert [(r.pos, r.body) for r in found] == [(0, '{"a":"x  y","b":1}'), (1, '{"id":2}'), (2, "7")]
     assert found[0].doc.endswith("p.json")
+    ordered = bronze.read_documents(spark, path, key_order=True).orderBy("pos").first()
+    assert ordered.body == '{"b":1,"a":"x  y"}'
+
+
+def test_documents_keep_digits_quotes_and_nulls(spark, tmp_path):
+    path = drop(tmp_path, "p.json", '[{"x":12345678901234567890.123456}, "t", null]')
+    found = bronze.read_documents(spark, path).orderBy("pos").collect()
+    assert [r.body for r in found] == ['{"x":12345678901234567890.123456}', '"t"', "null"]
+
+
+def test_unreadable_documents_are_named(spark, tmp_path):
+    for name, text, listed, fits in (
+        ("a.json", '[{"id":1}', True, False), ("b.json", '{"a":1}', True, False), ("c.json", "[]", True, True),
+        ("d.json", '{"rates":{}}', False, True), ("e.json", "[1]", False, False), ("f.json", "", True, False),
+    ):
+        found = bronze.unreadable(spark, drop(tmp_path, name, text), listed)
+        assert (found == []) == fits, name
+
+
+def test_numbers_that_are_not_whole_are_faults(spark):
+    carts = bronze.carts(elements(spark, {"id": 1.9, "userId": 1, "date": "2024-01-05", "products": [
+        {"productId": 2.7, "quantity": True}, {"productId": "3", "quantity": 2.0}, {"productId": 4, "quantity": 2.7}]}))
+    rows = bronze.cart_lines(carts).collect()
+    assert [(r.order_id, r.product_id, r.quantity) for r in rows] == [(None, None, None), (None, 3, 2), (None, 4, None)]
+    assert rows[0]._faults == ["order_id: not a whole number", "product_id: not a whole number", "quantity: not a whole number"]
+    assert rows[1]._faults == ["order_id: not a whole number"]
+
+
+def test_lines_keep_their_text(spark, tmp_path):
+    body = '{"id":1,"price":1.10, "t":"\\u00e9"}'
+    assert bronze.read_lines(spark, drop(tmp_path, "p.jsonl", body + "\n")).first().body == body
 
 
 def test_empty_list_gives_typed_empty_tables(spark, tmp_path):
@@ -114,7 +145,8 @@ def test_days_of_carts_without_items_count(spark):
 
 def test_broken_elements_keep_their_text(spark):
     found = bronze.carts(elements(spark, {"id": 1}, "{broken"))
-    assert [r.unreadable for r in found.where("unreadable is not null").collect()] == ["{broken"]
+    kept = {r.unreadable: r.reason for r in found.where("unreadable is not null").collect()}
+    assert kept == {'{"id": 1}': "date: missing", "{broken": "not JSON"}
 
 
 def test_repeated_key_keeps_last_value(spark):

@@ -42,6 +42,16 @@ def test_position_defaults_to_zero_only_where_empty(spark):
         ("1/2/2024 10:30", date(2024, 1, 2)),
         ("Jan 5, 2024", date(2024, 1, 5)),
         ("5 January 2024", date(2024, 1, 5)),
+        ("13/02/2024", date(2024, 2, 13)),
+        ("1/2/2024 10:30:15 AM", date(2024, 1, 2)),
+        ("Jan 5 2024", date(2024, 1, 5)),
+        ("Mon, 02 Mar 2020 00:00:00 GMT", date(2020, 3, 2)),
+        ("2020/03/02T00:00:00Z", date(2020, 3, 2)),
+        ("20240105T000000", date(2024, 1, 5)),
+        ("2024-01-05 10:00 PM", date(2024, 1, 5)),
+        ("5-Jan-2024", date(2024, 1, 5)),
+        ("2024.01.05", date(2024, 1, 5)),
+        ("Jan 5, 2024 25:00", None),
         ("2024-13-01", None),
         ("2024-02-30", None),
         ("2024-01-01 trailing", None),

@@ -1,9 +1,13 @@
 import json
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
+
+import pytest
 
 from cartmill.operators import load
 from cartmill.plans import job
+from cartmill.schemas import TABLES
 from cartmill.sources import bronze
 
 DAY_1, DAY_2 = date(2024, 1, 5), date(2024, 1, 6)
@@ -31,8 +35,6 @@ RATES = {"base": "USD", "rates": {"PEN": 3.75, "EUR": 0.9, "XXX": 0}}
 def drop(lake, run_date, carts=CARTS):
     documents = {"products": PRODUCTS, "carts": carts, "users": USERS, "countries": COUNTRIES, "fx_rates": RATES}
     for source, document in documents.items():
-        from pathlib import Path
-
         path = Path(lake.incoming(source, run_date))
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(json.dumps(document, indent=1))
@@ -47,6 +49,7 @@ def test_a_day_from_the_drop_folder(spark, lake):
     drop(lake, DAY_1)
     results = {r.table_name: tuple(r)[1:] for r in job.run(spark, lake, DAY_1, materialise=True).collect()}
     assert results == {
+        "carts": (4, 3, 1, 0),
         "dim_product": (3, 2, 1, 0),
         "dim_customer": (2, 2, 0, 0),
         "dim_date": (3, 3, 0, 0),
@@ -62,9 +65,79 @@ def test_a_day_from_the_drop_folder(spark, lake):
         ("Peru", "Americas", Decimal("784.20")), (None, None, Decimal("0.00"))}
     assert spark.read.parquet(lake.report("rpt_weekly_revenue")).count() == 2
 
-    before = facts(spark, lake)
+    rejected = load.read_rejects(spark, lake, "dim_product").first()
+    assert rejected.reasons == ["price_usd: not a number"] and '"n/a"' in json.loads(rejected.source_row)["_raw"]
+    undated = load.read_rejects(spark, lake, "carts").first()
+    assert undated.reasons == ["date: not a date"] and json.loads(undated.source_row)["id"] == 4
+
+    before = without_keys(spark, lake)
     job.run(spark, lake, DAY_1)
-    assert facts(spark, lake) == before
+    assert without_keys(spark, lake) == before
+    assert spark.table("fact_orders").count() == 3
+    catalog = spark.table(f"spark_catalog.{spark.catalog.currentDatabase()}.fact_orders")
+    assert catalog.count() == load.read_gold(spark, lake, "fact_orders").count() == 3
+    totals = [sum(r.revenue_usd for r in spark.table(n).collect()) for n in ("rpt_orders_by_city", "rpt_orders_by_country")]
+    assert totals[0] == totals[1]
+
+
+@pytest.mark.parametrize("source", ["carts", "products", "fx_rates"])
+def test_a_truncated_document_leaves_gold_as_it_was(spark, lake, source):
+    drop(lake, DAY_1)
+    job.run(spark, lake, DAY_1)
+    before = {t: load.read_gold(spark, lake, t).collect() for t in TABLES}
+    path = Path(lake.incoming(source, DAY_1))
+    path.write_text(path.read_text()[:-20])
+    with pytest.raises(ValueError, match="unreadable documents"):
+        job.run(spark, lake, DAY_1)
+    assert {t: load.read_gold(spark, lake, t).collect() for t in TABLES} == before
+
+
+def test_a_day_from_lines(spark, lake):
+    drop(lake, DAY_1)
+    lines = {"carts": CARTS, "products": PRODUCTS}
+    for source, rows in lines.items():
+        Path(lake.incoming(source, DAY_1)).write_text("\n".join(json.dumps(r) for r in rows))
+    job.run(spark, lake, DAY_1, formats=dict.fromkeys(lines, "lines"))
+    assert spark.table("fact_orders").count() == 3
+    with pytest.raises(ValueError, match="unknown formats"):
+        job.land_incoming(spark, lake, DAY_1, {"carts": "xml"})
+
+
+def test_lines_are_landed_by_several_tasks(spark, lake, tmp_path):
+    bodies = [json.dumps({"id": k, "price": "1.10", "pad": "x" * 200}) for k in range(2000)]
+    path = tmp_path / "p.json"
+    path.write_text("\n".join(bodies))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        bronze.land(bronze.read_lines(spark, str(path)), lake, "products", DAY_1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    landed = bronze.scan(spark, lake, "products", DAY_1)
+    assert sorted(r.body for r in landed.collect()) == sorted(bodies)
+    assert len(list(Path(lake.bronze("products", DAY_1)).glob("part-*"))) > 1
+
+
+def test_files_once_and_unknown_modes_through_the_job(spark, lake):
+    drop(lake, DAY_1)
+    with pytest.raises(ValueError, match="sometimes"):
+        job.run(spark, lake, DAY_1, fact_mode="sometimes")
+    assert not Path(lake.root, "gold").exists()
+    results = {r.table_name: r.loaded for r in job.run(spark, lake, DAY_1, fact_mode="append_new_files").collect()}
+    assert results["fact_orders"] == 3 and spark.table("fact_orders").count() == 3
+
+
+def test_the_last_entry_that_fits_counts_everywhere(spark, lake):
+    drop(lake, DAY_1)
+    later = [*PRODUCTS, {"id": 1, "title": "Shirt", "price": None, "category": "c"}]
+    Path(lake.incoming("products", DAY_1)).write_text(json.dumps(later))
+    job.run(spark, lake, DAY_1)
+    prices = {r.product_id: r.price_usd for r in load.read_gold(spark, lake, "dim_product").collect()}
+    assert prices[1] == Decimal("22.30")
+    assert {r.unit_price_usd for r in spark.table("fact_orders").where("product_id = 1").collect()} == {Decimal("22.30")}
+
+
+def without_keys(spark, lake):
+    return sorted(row[1:] for row in facts(spark, lake))
 
 
 def test_days_in_both_modes(spark, lake):

@@ -20,7 +20,7 @@ def stage(spark, lake, table, rows, run_date=DAY_1):
 def line(order, product=1, date_id=19960101, customer=1, quantity=1, price="1.00"):
     price = None if price is None else Decimal(price)
     total = None if price is None or quantity is None else price * quantity
-    return (order, date_id, product, customer, quantity, price, total)
+    return (order, date_id, product, customer, quantity, price, total, "d", 0, order, None, None)
 
 
 def test_columns_match_by_name_in_any_case_and_order(spark):
@@ -67,7 +67,7 @@ def test_required_column_that_is_absent_rejects_everything(spark):
 
 def test_dimension_is_replaced_and_last_entry_counts(spark, lake):
     def product(key, price, pos):
-        return (key, "n", "c", None if price is None else Decimal(price), None, None, "d", 0, pos)
+        return (key, "n", "c", None if price is None else Decimal(price), None, None, "d", 0, pos, None, None)
 
     stage(spark, lake, "dim_product", [product(1, "1", 0), product(1, "2", 1), product(2, None, 2), product(3, "4", 3)])
     assert load.load_dimension(spark, lake, "dim_product", DAY_1) == ("dim_product", 4, 2, 1, 1)
@@ -95,14 +95,17 @@ def test_fact_modes(spark, lake):
     assert keys.count() == keys.distinct().count() == 3
     load.load_fact(spark, lake, DAY_2, "snapshot")
     assert totals(spark, lake) == {DAY_2: Decimal("11.00")}
-    with pytest.raises(KeyError):
+    with pytest.raises(ValueError, match="sometimes"):
         load.load_fact(spark, lake, DAY_2, "sometimes")
+    stage(spark, lake, "fact_orders", [line(3, customer=None)], DAY_2)
+    assert load.load_fact(spark, lake, DAY_2, "replace_run")[1:4] == (1, 0, 1)
+    assert totals(spark, lake) == {}
 
 
 def test_every_file_is_loaded_once(spark, lake):
     stage(spark, lake, "fact_orders", [line(1), line(2, customer=None)])
-    append_new_files(spark, lake)
-    append_new_files(spark, lake)
+    assert append_new_files(spark, lake) == ("fact_orders", 2, 1, 1, 0)
+    assert append_new_files(spark, lake) == ("fact_orders", 0, 0, 0, 0)
     assert totals(spark, lake) == {DAY_1: Decimal("1.00")}
     stage(spark, lake, "fact_orders", [line(3, price="5.00")], DAY_2)
     append_new_files(spark, lake)
@@ -112,6 +115,27 @@ def test_every_file_is_loaded_once(spark, lake):
     assert stored.select("order_line_id").distinct().count() == 2
     bad = load.read_rejects(spark, lake, "fact_orders").first()
     assert bad.reasons == ["customer_id: missing"] and bad.run_date == DAY_1
+    with pytest.raises(ValueError, match="add again"):
+        load.load_fact(spark, lake, DAY_1, "replace_run")
+
+
+def test_a_stream_load_writes_few_files_for_many_dates(spark, lake):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in range(6):
+            stage(spark, lake, "fact_orders", [line(k, product=k % 7) for k in range(200)], date(2024, 2, n + 1))
+        append_new_files(spark, lake)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = load.read_gold(spark, lake, "fact_orders").select(F.col("_metadata.file_path")).distinct().count()
+    assert files <= 4 + 6
+
+
+def test_run_loads_refuse_files_loaded_by_date(spark, lake):
+    stage(spark, lake, "fact_orders", [line(1)])
+    load.load_fact(spark, lake, DAY_1, "replace_run")
+    with pytest.raises(ValueError, match="add again"):
+        append_new_files(spark, lake)
 
 
 def test_inserted_rows_cannot_be_added_twice(spark, lake):
@@ -126,17 +150,28 @@ def test_inserted_rows_cannot_be_added_twice(spark, lake):
     assert load.read_gold(spark, lake, "dim_currency").count() == 2
 
 
-def test_line_keys_of_different_loads_never_meet(spark):
-    def keys(kind, number):
-        rows = spark.range(0, 1000, 1, 8).select(load.line_key(kind, number).alias("k"))
-        return {r.k for r in rows.collect()}
+def test_line_keys_of_different_loads_never_meet(spark, lake):
+    def keys(first):
+        return {r.k for r in spark.range(0, 1000, 1, 8).select(load.line_key(first).alias("k")).collect()}
+
+    found = []
+    for number in range(3):
+        first = load.begin_keys(spark, lake, f"load {number}")
+        found.append(keys(first))
+        load._note(spark, lake, f"load {number}", first, max(found[-1]))
+    assert len(set().union(*found)) == 3000
 
-    loads = [(load.RUN, 0), (load.RUN, 1), (load.RUN, 32767), (load.STREAM, 0), (load.STREAM, 1), (load.ROWS, 0)]
-    found = [keys(*each) for each in loads]
-    assert len(set().union(*found)) == 1000 * len(loads)
-    assert all(k >= 0 for each in found for k in each)
-    with pytest.raises(ValueError):
-        load.line_key(load.RUN, 32768)
+
+def test_keys_go_on_after_a_load_that_broke_off(spark, lake):
+    stage(spark, lake, "fact_orders", [line(k) for k in range(50)])
+    load.load_fact(spark, lake, DAY_1, "replace_run")
+    load.begin_keys(spark, lake, "broken off")
+    stage(spark, lake, "fact_orders", [line(k) for k in range(50)], DAY_2)
+    load.load_fact(spark, lake, DAY_2, "replace_run")
+    rows = spark.createDataFrame([line(k) for k in range(50)], silver.SCHEMAS["fact_orders"])
+    load.append_rows(rows, lake, "fact_orders", DAY_2, 40_000)
+    keys = load.read_gold(spark, lake, "fact_orders").select("order_line_id")
+    assert keys.count() == keys.distinct().count() == 150
 
 
 def test_hot_day_and_product_is_cut_into_several_files(spark, lake):
