@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartmill.llm.store import keep, small, without
+from cartmill.llm.store import fresh, keep, small, without
 
 # The masks, as places that count.
 MASKS = ((0, 1, 2, 4, 7, 9), (0, 1, 3, 5, 6, 9), (0, 2, 3, 5, 8, 9))
@@ -117,8 +117,9 @@ _ALONG = f"""transform(array(struct(
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The documents that overlap no item; rows, repeated ones too, and columns stay as they are."""
-    dirty = overlaps(docs.select(F.col(f"`{text}`").alias("text")), items).select(F.xxhash64("text").alias("page"))
+    (page,) = fresh(docs, "page")
+    dirty = overlaps(docs.select(F.col(f"`{text}`").alias("text")), items).select(F.xxhash64("text").alias(page))
     dirty = keep(dirty.distinct(), "contaminated")
     count = dirty.count()
     # The key is the text's hash: copies of a contaminated text go with it.
-    return docs.join(small(dirty, count, 16), F.xxhash64(docs[f"`{text}`"]) == F.col("page"), "left_anti")
+    return docs.join(small(dirty, count, 16), F.xxhash64(docs[f"`{text}`"]) == F.col(page), "left_anti")

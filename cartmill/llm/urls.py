@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartmill.llm.store import ascii_lower, small, without
+from cartmill.llm.store import ascii_lower, fresh, small, without
 
 #: Entries per block of 512 bits: 16 bits an entry, about one false positive in a thousand.
 PER_BLOCK = 32
@@ -101,19 +101,18 @@ def judge(pages: DataFrame, listed: DataFrame, url: str = "url", default: str =
         & _all_set(),
     ).select("u", "entry")
     fits = passed.join(small(entries.distinct(), known["n"], ENTRY_BYTES), "entry")
-    best = fits.groupBy("u").agg(
-        F.max(F.struct(F.length("entry").alias("n"), "host_chars", "verdict", "entry")).alias("best")
+    kept = without(pages, "host", "path", "rule", "verdict")
+    key, found = fresh(kept, "url", "best")
+    best = fits.groupBy(F.col("u").alias(key)).agg(
+        F.max(F.struct(F.length("entry").alias("n"), "host_chars", "verdict", "entry")).alias(found)
     )
-    kept = without(pages.withColumnRenamed(url, "__url"), "host", "path", "rule", "verdict")
-    out = kept.join(best, kept["__url"].eqNullSafe(best["u"]), "left").drop("u")
-    url_column = F.col("__url")
-    names_out = [F.col(f"`{c}`") if c != "__url" else url_column.alias(url) for c in kept.columns]
+    out = kept.join(best, kept[f"`{url}`"].eqNullSafe(F.col(key)), "left")
     return out.select(
-        *names_out,
-        host_of(url_column).alias("host"),
-        path_of(url_column).alias("path"),
-        F.col("best.entry").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+        *[kept[f"`{c}`"] for c in kept.columns],
+        host_of(kept[f"`{url}`"]).alias("host"),
+        path_of(kept[f"`{url}`"]).alias("path"),
+        F.col(f"{found}.entry").alias("rule"),
+        F.coalesce(F.col(f"{found}.verdict"), F.lit(default)).alias("verdict"),
     )
 
 
