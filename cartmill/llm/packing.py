@@ -10,6 +10,8 @@ apart and their pieces packed again with those of other tasks.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -19,18 +21,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartmill.llm.store import fresh, keep, without
+from cartmill.llm.store import fresh, keep, process_cache, without
 
 CAPACITY = 2048
 CLOSING = 0
 #: Pieces packed together: bounds a task's memory, as a lot is a few arrays of this length.
 LOT = 200_000
-#: Distinct words whose ids a task remembers before it starts anew.
-WORDS = 400_000
+#: Distinct words whose ids a task remembers, once over: the older half goes.
+WORDS = 700_000
 #: A sequence with a larger share of free places is taken apart for the second pass.
 SHORT = 0.005
 
-_SPACE = str.maketrans("\n\t\r", "   ")
+_WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
+_MET = re.compile(r"(?:[^\w\s]|_)[.,] ")
 
 
 def default_vocabulary() -> str:
@@ -43,28 +46,50 @@ class WordIds:
     """Token ids as little-endian bytes, remembered by word.
 
     The vocabulary's tokens never span white space, so a text's ids are those of its words in
-    turn; words are what blanks, tabs and line ends part.
+    turn; words are what blanks, tabs and line ends part. Letters and signs are never one token
+    either, so a comma or full stop after a word counts as a word, and the vocabulary has lower
+    case only: both make fewer words to remember. Texts where signs meet, or with letters whose
+    lower case isn't settled by the letter alone, are looked up as they are.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.encode = Tokenizer.from_file(vocabulary).encode_batch
+        self.whole = Tokenizer.from_file(vocabulary)
+        self.merge = self.whole.model.tokenize
+        # Byte-level vocabularies spell each byte as a letter: printable ones as themselves, the
+        # rest in turn from 256 on.
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.spelling = "".join(chr(b) if b in plain else chr(next(others)) for b in range(256))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > WORDS:
-            self.known = {}
-            new = list(words)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, coded in zip(part, self.encode(part, add_special_tokens=False)):
-                self.known[word] = np.asarray(coded.ids, "<u4").tobytes()
+        if len(self.known) > WORDS:
+            self.older, self.known = self.known, {}
+        new = []
+        for word in words:
+            if word not in self.known:
+                if word in self.older:
+                    self.known[word] = self.older[word]
+                else:
+                    new.append(word)
+        for word in new:
+            if word.isalpha() and word.islower() and not _WIDE.search(word):
+                # Letters alone, composed and in lower case: nothing is left but the merges.
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
+                ids = [t.id for t in self.merge(spelt)]
+            else:
+                ids = self.whole.encode(word, add_special_tokens=False).ids
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
-        words = text.translate(_SPACE).split(" ")
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
+        if (text.isascii() or not _WIDE.search(text)) and not _MET.search(text) and "<|" not in text:
+            text = text.lower().replace(", ", " , ").replace(". ", " . ")
+        words = text.split(" ")
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
@@ -72,9 +97,6 @@ class WordIds:
             return b"".join(map(self.known.__getitem__, words))
 
 
-_MODELS: dict[str, WordIds] = {}
-
-
 def pieces(
     docs: DataFrame,
     text: str = "text",
@@ -103,9 +125,10 @@ def pieces(
     def cut(batches):
         import pyarrow as pa
 
-        if path not in _MODELS:
-            _MODELS[path] = WordIds(path)
-        model = _MODELS[path]
+        models = process_cache("word ids")
+        if path not in models:
+            models[path] = WordIds(path)
+        model = models[path]
         for batch in batches:
             texts = batch.column(text)
             row, piece, start, length, crc, ids = [], [], [], [], [], []

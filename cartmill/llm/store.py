@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +31,7 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     """Write the rows once and read them back: a lost executor repeats nothing before this."""
     spark = frame.sparkSession
     path = shared_folder(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -55,6 +57,11 @@ def fresh(frame: DataFrame, *stems: str) -> list[str]:
     return out
 
 
+def process_cache(name: str) -> dict:
+    """A dict that the tasks of one Python worker share."""
+    return sys.modules.setdefault("_cartmill_llm_cache", types.ModuleType("_cartmill_llm_cache")).__dict__.setdefault(name, {})
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other letters stay as they are."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
