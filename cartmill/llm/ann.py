@@ -27,7 +27,7 @@ from cartmill.llm.store import keep
 SAMPLE = 20_000
 CENTROIDS = 32
 #: Share of all entries that a query's walk reaches before it stops.
-REACH = 0.5
+REACH = 0.7
 #: Entries of a block, and queries of a lot.
 BLOCK, LOT = 8192, 8192
 
