@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A table is only broadcast while its rows, each of a bounded width, stay under this.
 BROADCAST_BYTES = 64 << 20
 
@@ -28,10 +29,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def keep(frame: DataFrame, name: str) -> DataFrame:
-    """Write the rows once and read them back: a lost executor repeats nothing before this."""
+    """Write the rows once and read them back: a lost executor repeats nothing before this.
+
+    The shuffle files of the write go when it is done, as nothing reads them any more.
+    """
     spark = frame.sparkSession
     path = shared_folder(spark, name)
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
