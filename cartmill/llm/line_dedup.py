@@ -15,6 +15,8 @@ from cartmill.llm.store import fresh, keep, small, without
 #: A line goes where more than this share of a host's pages have it, and at least PAGES do.
 RATIO = 0.1
 PAGES = 5
+#: From this many words on a line may have a share of its own: ordinary lines of so many hardly repeat.
+WORDS = 5
 
 
 def line_key(line: Column) -> Column:
@@ -23,26 +25,41 @@ def line_key(line: Column) -> Column:
     return F.when(bare != "", F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(bare, F.lit(1)).alias("b")))
 
 
+def _several(line: Column) -> Column:
+    return line.rlike(rf"^\s*+(?:\S++\s++){{{WORDS - 1}}}\S")
+
+
 def boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = PAGES
+    pages: DataFrame,
+    host: str,
+    text: str,
+    ratio: float = RATIO,
+    least_pages: int = PAGES,
+    several: float | None = None,
 ) -> DataFrame:
     """(host, lines): the keys of each host's boilerplate lines, for hosts that have any.
 
-    A host's array has at most its mean number of lines per page divided by `ratio` elements.
+    `several` is the share for lines of WORDS words or more, `ratio` for all without it. A host's
+    array has at most its mean number of lines per page divided by the smaller share elements.
     """
     page = F.xxhash64("text", F.lit(1))
     texts = pages.select(F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
-    keys = F.array_distinct(F.filter(F.transform(F.split("text", "\n", -1), line_key), lambda k: k.isNotNull()))
+
+    def entry(line: Column) -> Column:
+        share = F.lit(ratio) if several is None else F.when(_several(line), several).otherwise(ratio)
+        return F.struct(line_key(line).alias("line"), share.cast("double").alias("share"))
+
+    keys = F.array_distinct(F.filter(F.transform(F.split("text", "\n", -1), entry), lambda k: k["line"].isNotNull()))
     counted = (
-        texts.select("host", page.alias("page"), F.explode(keys).alias("line"))
-        .groupBy("host", "line")
+        texts.select("host", page.alias("page"), F.explode(keys).alias("k"))
+        .groupBy("host", "k.line", "k.share")
         .agg(F.count_distinct("page").alias("pages"))
         .where(F.col("pages") >= least_pages)
     )
     totals = texts.where("text IS NOT NULL").groupBy("host").agg(F.count_distinct(page).alias("total"))
     return (
         counted.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("pages") > F.lit(ratio) * F.col("total"))
+        .where(F.col("pages") > F.col("share") * F.col("total"))
         .groupBy("host")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
@@ -54,15 +71,17 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     least_pages: int = PAGES,
+    several: float | None = None,
 ) -> DataFrame:
     """The pages without their hosts' boilerplate lines, and lines_dropped long.
 
     A line is what newlines part; it is compared without the spaces, tabs and carriage returns
     around it. Blank lines are neither counted nor dropped. Null texts stay null and are no
     pages; a null host is a host of its own. A page that loses all lines keeps its row with an
-    empty text. Repeated rows are kept. An input column lines_dropped is replaced.
+    empty text. Repeated rows are kept. An input column lines_dropped is replaced. Lines of
+    WORDS words or more go above the share `several`, where that is given.
     """
-    found = keep(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
+    found = keep(boilerplate(pages, host, text, ratio, least_pages, several), "boilerplate")
     size = found.agg(F.count("*").alias("hosts"), F.sum(F.size("lines")).alias("lines")).first()
     key, lines, parts, left = fresh(pages, "host", "lines", "parts", "left")
     table = small(
