@@ -149,7 +149,8 @@ def search(
     counts = np.zeros((len(books[0]), width), np.int64)
     for r in coded.groupBy("cell").count().collect():  # at most CENTROIDS squared
         counts.flat[r["cell"]] = r["count"]
-    enough = reach * counts.sum()
+    # At least so many entries that k are left without the query's own, each with an id or more.
+    enough = max(reach * counts.sum(), k + 1)
     first, parts, blocks = _blocks(counts.ravel())
     lots = max(1, -(-asked.count() // LOT))
 
