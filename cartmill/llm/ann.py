@@ -30,6 +30,8 @@ CENTROIDS = 32
 REACH = 0.7
 #: Entries of a block, and queries of a lot.
 BLOCK, LOT = 8192, 8192
+#: More than products of unit vectors are off by.
+NEAR = 1e-9
 
 
 def usable(vector: Column) -> Column:
@@ -178,7 +180,7 @@ def search(
             yield frame.explode("block").astype({"block": "int64"})
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"q": [], "ids": [], "score": []})
+        none = pd.DataFrame({"q": [], "vec_id": [], "score": []})
         if not len(left) or not len(right):
             return none
         qv, ev = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
@@ -186,27 +188,42 @@ def search(
         seen = np.unpackbits(np.frombuffer(b"".join(left["cells"]), np.uint8).reshape(len(left), -1), axis=1)
         cells = right["cell"].to_numpy()
         names = right["ids"].to_numpy()
+        lengths = np.array([len(x) for x in names])
         found = []
         for at in range(0, len(left), 256):
             part = slice(at, at + 256)
             score = np.where(seen[part][:, cells] > 0, qu[part] @ eu.T, -2.0)
-            # A few more than asked for: rounding may order near-equal scores otherwise.
-            most = min(k + 11, score.shape[1])
-            near = np.argpartition(-score, most - 1, axis=1)[:, :most]
-            for i, js in enumerate(near):
-                js = js[score[i, js] > -2]
-                q, e = qv[at + i], ev[js]
-                exact = (e * q).sum(1) / (np.sqrt((q * q).sum()) * np.sqrt((e * e).sum(1)))
-                found += [(left["q"].iat[at + i], names[j], s) for j, s in zip(js, exact)]
-        return pd.DataFrame(found, columns=["q", "ids", "score"]) if found else none
+            # The query's own may be one of them.
+            most = min(k + 1, score.shape[1])
+            least = np.partition(score, -most, axis=1)[:, -most]
+            for i, row in enumerate(score):
+                own, q = left["q"].iat[at + i], qv[at + i]
+                wide, low = most, least[i]
+                while True:
+                    # All that rounding may order otherwise, equal scores included.
+                    js = np.flatnonzero((row >= low - NEAR) & (row > -2))
+                    e = ev[js]
+                    exact = (e * q).sum(1) / (np.sqrt((q * q).sum()) * np.sqrt((e * e).sum(1)))
+                    ids = np.concatenate([names[j] for j in js]) if len(js) else np.zeros(0, np.int64)
+                    exact = np.repeat(exact, lengths[js])
+                    ids, exact = ids[ids != own], exact[ids != own]
+                    order = np.lexsort((ids, -exact))
+                    _, firsts = np.unique(ids[order], return_index=True)
+                    # One id may have many vectors: more are taken until k ids are met.
+                    if len(firsts) >= k or wide == len(row):
+                        break
+                    wide = min(2 * wide, len(row))
+                    low = np.partition(row, -wide)[-wide]
+                for j in order[np.sort(firsts)[:k]]:
+                    found.append((own, ids[j], exact[j]))
+        return pd.DataFrame(found, columns=["q", "vec_id", "score"]) if found else none
 
     dealt = coded.mapInPandas(deal, "v array<double>, ids array<long>, cell long, block long")
     lot_numbers = F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))
     index = dealt.withColumn("lot", lot_numbers).groupBy("block", "lot")
     visits = asked.mapInPandas(visit, "q long, v array<double>, cells binary, lot int, block long")
-    near = visits.groupBy("block", "lot").cogroup(index).applyInPandas(nearest, "q long, ids array<long>, score double")
-    pairs = near.select("q", F.explode("ids").alias("vec_id"), "score").where("vec_id <> q")
-    pairs = pairs.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
+    near = visits.groupBy("block", "lot").cogroup(index).applyInPandas(nearest, "q long, vec_id long, score double")
+    pairs = near.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select(
         F.col("q").alias("query_id"), "rank", "vec_id", "score"
