@@ -14,14 +14,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartmill.llm.store import without
+from cartmill.llm.store import keep, small, without
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDED = 6
-#: Bounds of the training sample: languages (the most frequent), documents of each, windows of each document.
-LANGUAGES, DOCUMENTS, SLICES = 64, 300, 6
+#: Bounds of the training sample: documents of each language, windows of each document.
+DOCUMENTS, SLICES = 300, 6
 EPOCHS, BATCH, RATE = 14, 64, 0.01
 UNKNOWN = "und"
 #: Windows that a task scores at once.
@@ -164,29 +164,29 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[str, str]]:
-    """At most LANGUAGES * DOCUMENTS * SLICES stretches of text, from documents in hash order.
+    """At most DOCUMENTS * SLICES stretches of text of every language, from documents in hash order.
 
     Only ids and labels are ranked; texts are cut into stretches before they come to the driver.
     """
     labelled = docs.where(~held_out(docs[f"`{doc_id}`"]) & docs[f"`{lang}`"].isNotNull() & docs[f"`{text}`"].isNotNull())
     names = labelled.groupBy(F.col(f"`{lang}`").alias("l")).agg(F.count("*").alias("n"))
-    names = names.orderBy(F.desc("n"), "l").limit(LANGUAGES)
-    counts = {r["l"]: r["n"] for r in names.collect()}
-    if not counts:
-        return []
     # About twice DOCUMENTS of each language pass this filter on the hash of the id; the order
     # of that hash then picks the DOCUMENTS first, in whatever way the rows are dealt out.
-    share = F.create_map(*[x for l, n in counts.items() for x in (F.lit(l), F.lit(min(1.0, 2 * DOCUMENTS / n)))])
+    names = keep(names.select("l", F.least(F.lit(1.0), 2 * DOCUMENTS / F.col("n")).alias("share")), "languages")
+    size = names.agg(F.sum(64 + F.octet_length("l"))).first()[0]
+    if size is None:
+        return []
     at = F.pmod(F.xxhash64(F.col(f"`{doc_id}`").cast("string")), F.lit(1 << 20))
-    body = F.col(f"`{text}`")
-    step = F.ceil(F.length(body) / SLICES).cast("int")
-    near = labelled.select(
-        F.col(f"`{lang}`").alias("l"),
-        at.alias("at"),
+    given = labelled.select(F.col(f"`{lang}`").alias("l"), at.alias("at"), F.col(f"`{text}`").alias("body"))
+    passed = given.join(small(names, size, 1), "l").where(F.col("at") < F.col("share") * (1 << 20))
+    step = F.ceil(F.length("body") / SLICES).cast("int")
+    near = passed.select(
+        "l",
+        "at",
         F.transform(
-            F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda k: body.substr(k * step + 1, F.lit(WINDOW))
+            F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda k: F.col("body").substr(k * step + 1, F.lit(WINDOW))
         ).alias("parts"),
-    ).where(F.col("at") < share[F.col("l")] * (1 << 20))
+    )
 
     first = F.row_number().over(Window.partitionBy("l").orderBy("at", "parts"))
     picked = near.withColumn("r", first).where(F.col("r") <= DOCUMENTS).select("l", "parts").collect()
