@@ -2,7 +2,8 @@
 
 Tokens are runs of letters and digits, lower-cased. A seed hashes the tokens at some of ten
 neighbouring places: which ones, each of three fixed masks says, and what stands at the others
-doesn't matter. Seeds at every place of every document are joined with those of the items; a
+doesn't matter. Items shorter than WINDOW have masks of their own length besides, and the masks
+are such that every alignment that is accepted has a common seed. Seeds at every place of every document are joined with those of the items; a
 common seed gives an alignment of the two texts, and along it tokens are compared one by one.
 A document is contaminated where, of WINDOW aligned tokens in a row (or of all the item's, if
 it has fewer), at least AGREE agree: substituted words are tolerated.
@@ -10,15 +11,19 @@ it has fewer), at least AGREE agree: substituted words are tolerated.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmill.llm.store import fresh, keep, small, without
 
-# The masks, as places that count.
-MASKS = ((0, 1, 2, 4, 7, 9), (0, 1, 3, 5, 6, 9), (0, 2, 3, 5, 8, 9))
-SPAN = 10
+# The masks, as places that count. Whichever two of WINDOW places differ, one of
+# the masks fits somewhere between them.
+MASKS = ((0, 1, 2, 4, 7, 9), (0, 1, 3, 5, 6, 9), (0, 3, 4, 5, 8, 9))
 WINDOW, AGREE = 13, 0.8
+#: Places that count in a mask, at least, where an item has enough.
+WEIGHT = 6
 
 
 def tokens(text: Column) -> Column:
@@ -29,14 +34,29 @@ def tokens(text: Column) -> Column:
     )
 
 
-def _seeds(words: str, short: list[int]) -> list[Column]:
-    """The seeds at every place, by mask; `short` has lengths below SPAN, whose runs are hashed whole."""
-    masks = [*MASKS, *[tuple(range(n)) for n in short]]
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks of a whole run of n places: whichever places may differ, one leaves them out.
+
+    Places are dealt into groups, and each mask leaves out as many groups as places may differ.
+    """
+    differ = n - -(-round(100 * AGREE) * n // 100)
+    groups = next(g for g in range(differ + 1, n + 1) if n - differ * -(-n // g) >= min(WEIGHT, n - differ))
+    return [
+        tuple(p for p in range(n) if p % groups not in out) for out in combinations(range(groups), differ)
+    ]
+
+
+def _seeds(words: str, short: list[int], items: bool) -> list[Column]:
+    """The seeds at every place, by mask; `short` has item lengths below WINDOW, which have masks
+    of their own. Of the items, only those of that length have such seeds."""
+    masks = [(m, m[-1] + 1, f"size({words}) > {m[-1]}") for m in MASKS]
+    for n in short:
+        masks += [(m, n, f"size({words}) {'=' if items else '>='} {n}") for m in short_masks(n)]
     arrays = []
-    for number, mask in enumerate(masks):
+    for number, (mask, span, fits) in enumerate(masks):
         places = ", ".join(f"{words}[i + {p}]" for p in mask)
         arrays.append(
-            f"""if(size({words}) > {mask[-1]}, transform(sequence(0, size({words}) - {mask[-1] + 1}),
+            f"""if({fits}, transform(sequence(0, size({words}) - {span}),
                   i -> xxhash64({number}, {places})), CAST(array() AS ARRAY<BIGINT>))"""
         )
     return [F.expr(a) for a in arrays]
@@ -60,16 +80,16 @@ def overlaps(
         .withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
-    lengths = bench.where(F.size("w") < SPAN).select(F.size("w").alias("n")).distinct().orderBy("n")
-    short = [r["n"] for r in lengths.collect()]  # at most SPAN - 2
+    lengths = bench.where(F.size("w") < WINDOW).select(F.size("w").alias("n")).distinct().orderBy("n")
+    short = [r["n"] for r in lengths.collect()]  # at most WINDOW - 2
     seeds = keep(
-        _placed(bench, "item", short).select("item", F.col("place").alias("at"), "seed"), "seeds"
+        _placed(bench, "item", short, True).select("item", F.col("place").alias("at"), "seed"), "seeds"
     )
     n = seeds.count()
 
     key = F.xxhash64(F.col(f"`{text}`"))
     words = docs.select(key.alias("page"), tokens(F.col(f"`{text}`")).alias("w"))
-    hits = _placed(words, "page", short).join(small(seeds, n, 64), "seed")
+    hits = _placed(words, "page", short, False).join(small(seeds, n, 64), "seed")
     shifts = hits.select("page", "item", (F.col("place") - F.col("at")).alias("shift")).distinct()
     met = keep(
         shifts.groupBy("page", "item").agg(F.collect_list("shift").alias("shifts")).join(small(bench, n, 1024), "item"),
@@ -93,9 +113,9 @@ def overlaps(
     )
 
 
-def _placed(words: DataFrame, key: str, short: list[int]) -> DataFrame:
+def _placed(words: DataFrame, key: str, short: list[int], items: bool) -> DataFrame:
     """(key, place, seed) of all masks, in one pass over the words."""
-    arrays = F.array(*[F.struct(s.alias("s")) for s in _seeds("w", short)])
+    arrays = F.array(*[F.struct(s.alias("s")) for s in _seeds("w", short, items)])
     return words.select(key, F.explode(arrays).alias("m")).select(key, F.posexplode("m.s").alias("place", "seed"))
 
 
