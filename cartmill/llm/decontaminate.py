@@ -95,10 +95,13 @@ def overlaps(
         shifts.groupBy("page", "item").agg(F.collect_list("shift").alias("shifts")).join(small(bench, n, 1024), "item"),
         "hits",
     ).selectExpr("page AS __page", "item_id AS __item_id", "shifts AS __shifts", "w AS __item")
+    # Measured: a row carries an item's whole tokens and all shifts against a document.
+    width = F.size("__shifts") * 8 + F.size("__item") * 8 + F.coalesce(F.octet_length(F.col("__item_id").cast("string")), F.lit(0)) + 64
+    met_bytes = met.agg(F.sum(width.cast("long"))).first()[0] or 0
     rows = without(docs, "item_id", "token_start", "item_start", "aligned", "agreeing")
     return (
         rows.withColumn("__key", key)
-        .join(small(met, met.count(), 1024), F.col("__key") == F.col("__page"))
+        .join(small(met, met_bytes, 1), F.col("__key") == F.col("__page"))
         .withColumn("__w", tokens(F.col(f"`{text}`")))
         .withColumn("__best", F.expr(f"array_max(transform(__shifts, d -> {_ALONG}))"))
         .where("__best IS NOT NULL")
