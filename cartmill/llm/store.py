@@ -41,7 +41,16 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
         frame.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(frame.schema).parquet(path)
+    kept = spark.read.schema(frame.schema).parquet(path)
+    kept.written_to = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables made by keep, once all that was made from them has been written itself."""
+    for frame in frames:
+        at = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.written_to)
+        at.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small(frame: DataFrame, rows: int, row_bytes: int) -> DataFrame:
