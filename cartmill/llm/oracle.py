@@ -1,7 +1,7 @@
 """The same results in DuckDB's SQL, where it can express them.
 
 Without SQL: op3 (a seed may miss what a search of all alignments finds), op5 (approximate),
-op8 (tokens), op9 (offsets of matches), op10 (a trained network).
+op8, op12 and op13 (tokens), op9 (offsets of matches), op10 (a trained network).
 """
 
 from __future__ import annotations
@@ -113,10 +113,76 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(lead + length(et)) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
 
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+#: Eight steps of CRC-32 for one byte, lowest bit first.
+_CRC_BYTE = "c"
+for _ in range(8):
+    _CRC_BYTE = f"list_transform([{_CRC_BYTE}], lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)[1]"
+
+_MERKLE = f"""
+WITH RECURSIVE row_leaf AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf, {_leaf("replace(text, chr(10), '')")} AS changed
+  FROM documents),
+crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS t, 0 AS k, CAST(4294967295 AS BIGINT) AS r
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, t, k + 1, (SELECT {_CRC_BYTE} FROM (SELECT xor(r, CAST(ascii(t[k + 1]) AS BIGINT)) AS c))
+  FROM crc WHERE k < length(t)),
+odd AS (SELECT doc_id FROM crc WHERE k = length(t) AND xor(r, 4294967295) % 2 = 0),
+tree AS (
+  SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+  FROM documents GROUP BY source),
+placed AS (
+  SELECT l.doc_id, l.leaf, CASE WHEN o.doc_id IS NOT NULL THEN changed ELSE leaf END AS start, tree, n,
+         row_number() OVER (PARTITION BY tree ORDER BY l.doc_id NULLS FIRST, l.leaf) - 1 AS idx
+  FROM row_leaf l JOIN tree t ON l.source IS NOT DISTINCT FROM t.source LEFT JOIN odd o ON l.doc_id = o.doc_id),
+node AS (
+  SELECT tree, n, CAST(0 AS BIGINT) AS level, CAST(idx AS BIGINT) AS idx, leaf AS h FROM placed
+  UNION ALL
+  SELECT tree, CAST(ceil(n / 3) AS BIGINT), level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM node WHERE n > 1 GROUP BY tree, n, level, idx // 3),
+subroot AS (SELECT tree, h, count(*) OVER () AS trees FROM node WHERE n = 1),
+over AS (
+  SELECT trees AS n, CAST(0 AS BIGINT) AS level, CAST(tree AS BIGINT) AS idx, h FROM subroot
+  UNION ALL
+  SELECT CAST(ceil(n / 3) AS BIGINT), level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM over WHERE n > 1 GROUP BY n, level, idx // 3),
+every AS (SELECT tree, n, level, idx, h FROM node UNION ALL SELECT -1, n, level, idx, h FROM over),
+run AS (
+  SELECT a.tree, a.n, a.level, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM every a JOIN every b ON a.tree = b.tree AND a.level = b.level AND a.idx // 3 = b.idx // 3
+  WHERE a.n > 1 GROUP BY a.tree, a.n, a.level, a.idx),
+walk AS (
+  SELECT row_number() OVER () AS id, doc_id, leaf, tree AS home, CAST(tree AS BIGINT) AS tree, CAST(0 AS BIGINT) AS level,
+         CAST(idx AS BIGINT) AS idx, n, start AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT w.id, w.doc_id, w.leaf, w.home,
+         CASE WHEN w.n > 1 THEN w.tree ELSE -1 END,
+         CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END,
+         CASE WHEN w.n > 1 THEN w.idx // 3 ELSE w.tree END,
+         CASE WHEN w.n > 1 THEN CAST(ceil(w.n / 3) AS BIGINT) ELSE (SELECT max(trees) FROM subroot) END,
+         CASE WHEN w.n > 1 THEN sha256(run.l || w.h || run.r) ELSE w.h END,
+         CASE WHEN w.n > 1 THEN w.proof || run.l || run.r ELSE w.proof END
+  FROM walk w LEFT JOIN run ON w.n > 1 AND run.tree = w.tree AND run.level = w.level AND run.idx = w.idx
+  WHERE w.n > 1 OR w.tree >= 0),
+top AS (SELECT h AS root FROM over WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, w.h AS folded_root, w.h = root AS verified
+FROM walk w JOIN subroot s ON s.tree = w.home, top WHERE w.tree = -1 AND w.n = 1"""
+
 ORACLE: dict[str, str] = {
     "op1_sharding": _SHARDING,
     "op2_url_filters": _URLS,
     "op4_jaccard_join": _JACCARD,
     "op6_line_dedup": _LINES,
     "op7_chat_formatting": _CHAT,
+    "op11_merkle_manifest": _MERKLE,
 }

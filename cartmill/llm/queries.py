@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartmill.llm import ann, chat, decontaminate, jaccard, langid, line_dedup, packing, secrets, sharding, urls
+from cartmill.llm import (
+    alignment, ann, chat, decontaminate, jaccard, langid, line_dedup, merkle, packing, piece_codec, secrets, sharding, urls,
+)
 from cartmill.llm.oracle import SHARDS
+from cartmill.llm.store import keep
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,10 +110,42 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    # Half of the documents come back without their line feeds.
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    later = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.prove(docs, presented={"text": later}).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    both = piece_codec.decode(piece_codec.encode(docs))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(piece_codec.joined_ids().cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    spelt = F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    aligned = alignment.align(docs).withColumn("groups_sha256", spelt).drop("groups")
+    return alignment.score(keep(aligned, "aligned")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_url_filters, op3_decontamination, op4_jaccard_join, op5_multi_index, op6_line_dedup,
-        op7_chat_formatting, op8_packing, op9_secret_scan, op10_language_id,
+        op7_chat_formatting, op8_packing, op9_secret_scan, op10_language_id, op11_merkle_manifest, op12_sentencepiece,
+        op13_token_alignment,
     )
 }

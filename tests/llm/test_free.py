@@ -210,7 +210,7 @@ def test_overlaps_against_all_alignments(spark, docs):
 
 def test_every_operator_has_a_query():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_pipeline(spark):
