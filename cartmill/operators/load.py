@@ -21,7 +21,11 @@ from cartmill.sources import silver
 from cartmill.sources.lake import Lake
 
 RESULT_SCHEMA = "table_name string, staged bigint, loaded bigint, rejected bigint, superseded bigint"
-REJECT_SCHEMA = "reasons array<string>, source_row string"
+REJECT_SCHEMA = "reasons array<string>, source_row string, file string, row bigint"
+FILE_SCHEMA = (
+    "file string, status string, staged bigint, loaded bigint, rejected bigint, superseded bigint, "
+    "first_error string, first_error_row bigint"
+)
 
 
 @dataclass(frozen=True)
@@ -72,6 +76,15 @@ def _fields(rows: DataFrame, table: Table) -> list[_Field]:
 #: Silver columns that the load reads besides the table's own: what was wrong with a value
 #: that silver could not keep, and the element as it came.
 FAULTS, RAW = "_faults", "_raw"
+#: Columns that say where a staged row is stored; they are no part of it.
+FILE, ROW, TIE = "_file", "_row", "_tie"
+
+
+def placed(stored: DataFrame) -> DataFrame:
+    """Stored rows with their file and their place in it."""
+    return stored.select(
+        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)
+    )
 
 
 def fits(rows: DataFrame, table: Table) -> str:
@@ -93,6 +106,7 @@ def rejected(rows: DataFrame, table: Table) -> DataFrame:
 
     Where silver has a fault for a column (`name: what`), it is the reason, and that the
     column is missing is not. The source row has the element as it came, where silver kept it.
+    `file` and `row` say where it is stored, where the rows come from files (see placed).
     """
     found = ", ".join(
         f"CASE WHEN {fault} THEN '{reason}' END" for f in _fields(rows, table) for reason, fault in f.faults
@@ -101,9 +115,10 @@ def rejected(rows: DataFrame, table: Table) -> DataFrame:
     if FAULTS in rows.columns:
         reasons = f"""concat(coalesce({FAULTS}, array()), filter({reasons}, r -> NOT exists(
             coalesce({FAULTS}, array()), f -> r = concat(split_part(f, ':', 1), ': missing'))))"""
-    source = ", ".join(f"`{c}`" for c in rows.columns if c != FAULTS)
+    source = ", ".join(f"`{c}`" for c in rows.columns if c not in (FAULTS, FILE, ROW, TIE))
+    file, row = (FILE, ROW) if FILE in rows.columns else ("CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)")
     return rows.where(f"NOT coalesce({fits(rows, table)}, false)").selectExpr(
-        f"{reasons} AS reasons", f"to_json(struct({source})) AS source_row"
+        f"{reasons} AS reasons", f"to_json(struct({source})) AS source_row", f"{file} AS file", f"{row} AS row"
     )
 
 
@@ -139,15 +154,75 @@ def keep_rejects(bad: DataFrame, lake: Lake, name: str, run_date: date, batch: s
     return seen.get["rows"]
 
 
+def file_results(staged: DataFrame, bad: DataFrame | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """What became of each file's rows, as FILE_SCHEMA; a file without rows has none.
+
+    `staged` is placed; its rows are counted from file footers. `bad` are the rejects kept of it
+    and `kept` the rows that gold took, with their file, where some were superseded; without
+    them there are none. The first error is the first reason of the first row turned away.
+    """
+    files = staged.groupBy(F.col(FILE).alias("file")).agg(F.count("*").alias("staged"))
+    if bad is None:
+        files = files.withColumns(
+            {"rejected": F.lit(0).cast("bigint"), "first_error": F.lit(None).cast("string"), "first_error_row": F.lit(None).cast("bigint")}
+        )
+    else:
+        errors = bad.groupBy("file").agg(
+            F.count("*").alias("rejected"),
+            F.min_by(F.col("reasons")[0], "row").alias("first_error"),
+            F.min("row").alias("first_error_row"),
+        )
+        files = files.join(errors, "file", "left").fillna(0, ["rejected"])
+    if kept is None:
+        files = files.withColumn("loaded", F.col("staged") - F.col("rejected"))
+    else:
+        taken = kept.groupBy("file").agg(F.count("*").alias("loaded"))
+        files = files.join(taken, "file", "left").fillna(0, ["loaded"])
+    return files.select(
+        "file",
+        F.when(F.col("rejected") == 0, "loaded")
+        .when(F.col("rejected") < F.col("staged"), "partly loaded")
+        .otherwise("failed")
+        .alias("status"),
+        "staged",
+        "loaded",
+        "rejected",
+        (F.col("staged") - F.col("loaded") - F.col("rejected")).alias("superseded"),
+        "first_error",
+        "first_error_row",
+    )
+
+
+def _write_file_results(
+    staged: DataFrame, lake: Lake, table: Table, run_date: date, batch: str, bad: int, kept: DataFrame | None = None
+) -> None:
+    """Replace one load's results by file. Rejects are read back from where they were kept."""
+    rejects = None
+    if bad:
+        folder = lake.load_folder(table.name, run_date, batch, lake.rejects(table.name))
+        rejects = staged.sparkSession.read.schema(REJECT_SCHEMA).parquet(folder)
+    path = lake.load_folder(table.name, run_date, batch, lake.file_results(table.name))
+    file_results(staged, rejects, kept).write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def read_file_results(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """Results of every load of a table, by file: FILE_SCHEMA with run_date and batch."""
+    schema = f"{FILE_SCHEMA}, run_date date, batch string"
+    return spark.read.schema(schema).parquet(lake.file_results(name))
+
+
 def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date) -> tuple:
     """Full refresh of one dimension from one run date's silver table."""
-    table = TABLES[name]
-    staged = silver.read(spark, lake, name, run_date)
-    good, seen = _count(gold_rows(staged, table, silver.RECENCY.get(name, ())), f"loaded_{name}")
+    table, recency = TABLES[name], silver.RECENCY.get(name, ())
+    staged = placed(silver.read(spark, lake, name, run_date))
+    good, seen = _count(gold_rows(staged, table, recency), f"loaded_{name}")
     good.write.mode("overwrite").option("compression", "snappy").parquet(lake.gold(name))
     loaded = seen.get["rows"]
     total = staged.count()  # from Parquet footers
     bad = _write_rejects(staged, lake, table, run_date, "run", any_bad=loaded < total)
+    # Which file a superseded row came from is only asked where there is one.
+    kept = gold_rows(staged, table, recency, keep=(f"{FILE} AS file",)) if loaded + bad < total else None
+    _write_file_results(staged, lake, table, run_date, "run", bad, kept)
     follow(spark, lake, name)
     return name, total, loaded, bad, total - loaded - bad
 
@@ -298,10 +373,12 @@ def load_fact(
     if mode == "replace_run" and has_loads(spark, lake, "stream-*"):
         raise ValueError("the fact holds lines loaded file by file, which this would add again")
     stored = silver.read(spark, lake, FACT_ORDERS.name, run_date)
-    staged = stored.select("*", F.lit(run_date).alias("run_date"), tie().alias("_tie"))
+    staged = stored.select("*", F.lit(run_date).alias("run_date"), tie().alias(TIE))
     loaded = write_fact(spark, staged, lake, "run", run_date, mode == "snapshot")
+    stored = placed(stored)
     total = stored.count()
     bad = _write_rejects(stored, lake, FACT_ORDERS, run_date, "run", any_bad=loaded < total)
+    _write_file_results(stored, lake, FACT_ORDERS, run_date, "run", bad)
     return FACT_ORDERS.name, total, loaded, bad, 0
 
 

@@ -370,13 +370,14 @@ def full_refresh_twice(spark, folder):
     return load.read_gold(spark, lake, "dim_product")
 
 
-def _stage_two_days(spark: SparkSession, folder: str, lake: Lake) -> None:
+def _stage_two_days(spark: SparkSession, folder: str, lake: Lake, days: tuple[date, ...] = (DAY_1, DAY_2)) -> None:
     """Silver facts of two run dates: faulty lines, then clean ones."""
-    product = dims.dim_product(tables.feed(spark, folder)["products"])
-    dirty = _faulty(spark, folder, "fact_orders")
-    clean_lines = facts.fact_orders(tables.feed(spark, folder)["cart_lines"], product)
-    silver.write(dirty, lake, "fact_orders", DAY_1)
-    silver.write(clean_lines, lake, "fact_orders", DAY_2)
+    if DAY_1 in days:
+        silver.write(_faulty(spark, folder, "fact_orders"), lake, "fact_orders", DAY_1)
+    if DAY_2 in days:
+        product = dims.dim_product(tables.feed(spark, folder)["products"])
+        clean_lines = facts.fact_orders(tables.feed(spark, folder)["cart_lines"], product)
+        silver.write(clean_lines, lake, "fact_orders", DAY_2)
 
 
 def _per_run(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -441,14 +442,64 @@ def fact_snapshot(spark, folder):
 
 @query
 def fact_append_files_once(spark, folder):
-    """Three calls, two run dates' files: every file is loaded by one call only."""
+    """Three calls, files arriving before the first and the second: every file is loaded by one call only."""
     lake = _lake(spark)
-    _stage_two_days(spark, folder, lake)
-    append_new_files(spark, lake)
+    for day in (DAY_1, DAY_2):
+        _stage_two_days(spark, folder, lake, (day,))
+        append_new_files(spark, lake)
     append_new_files(spark, lake)
     return _per_run(spark, lake)
 
 
+@query
+def fact_append_late_files(spark, folder):
+    """Files of the second day, then those of the first, which are 500 days older than all
+    others by then; then nothing. What each call loaded, and what is there in the end."""
+    lake = _lake(spark)
+    calls = []
+    for day in (DAY_2, DAY_1, None):
+        _stage_two_days(spark, folder, lake, (day,))
+        if day == DAY_1:
+            _age(spark, lake.silver("fact_orders", DAY_1), days=500)
+        calls.append((f"call {len(calls) + 1}", *append_new_files(spark, lake)[1:4]))
+    called = spark.createDataFrame(calls, "what string, staged bigint, loaded bigint, rejected bigint")
+    stored = load.read_gold(spark, lake, "fact_orders").groupBy("run_date").agg(F.count("*").alias("lines"))
+    return called.unionByName(
+        stored.select(
+            F.concat(F.lit("stored "), F.col("run_date").cast("string")).alias("what"),
+            F.lit(None).cast("bigint").alias("staged"),
+            F.col("lines").alias("loaded"),
+            F.lit(None).cast("bigint").alias("rejected"),
+        )
+    )
+
+
+def _age(spark: SparkSession, folder: str, days: int) -> None:
+    """Make a folder's files older by so many days."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(at):
+        system.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query
+def load_file_results(spark, folder):
+    """Silver of lines in four files and of products in two: what became of each file's rows."""
+    lake, source = _lake(spark), _staged(spark, folder)
+    parts = (("fact_orders", "order_id", 4, ("order_id", "product_id", "quantity")), ("dim_product", "product_id", 2, ("product_id", *bronze.FEED_ORDER)))
+    for name, key, files, order in parts:
+        rows = silver.read(spark, source, name, DAY_1).withColumn("part", F.col(key) % files)
+        rows.repartition("part").sortWithinPartitions("part", *order).write.partitionBy("part").parquet(lake.silver(name, DAY_1))
+    load.load_dimension(spark, lake, "dim_product", DAY_1)
+    load.load_fact(spark, lake, DAY_1)
+    found = [load.read_file_results(spark, lake, name).withColumn("table_name", F.lit(name)) for name, *_ in parts]
+    return reduce(DataFrame.unionByName, found).select(
+        "table_name",
+        F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part"),
+        "status", "staged", "loaded", "rejected", "superseded", "first_error", "first_error_row",
+    )
+
+
 @query
 def fact_insert_rows(spark, folder):
     """Two inserts of DataFrame rows."""

@@ -350,6 +350,36 @@ UNION ALL SELECT 'report', units, units FROM seen""",
     "fact_append_files_once": _with(_FACT, _STAGED)
     + f"SELECT DATE '2024-01-05' AS run_date, {_LINE_TOTALS} FROM loaded UNION ALL "
     f"SELECT DATE '2024-01-06', {_LINE_TOTALS} FROM fact_c",
+    "fact_append_late_files": _with(_FACT, _STAGED)
+    + """,
+counted AS (
+  SELECT (SELECT COUNT(*) FROM staged) AS s, (SELECT COUNT(*) FROM loaded) AS l, (SELECT COUNT(*) FROM fact_c) AS f)
+SELECT 'call 1' AS what, f AS staged, f AS loaded, 0 AS rejected FROM counted
+UNION ALL SELECT 'call 2', s, l, s - l FROM counted
+UNION ALL SELECT 'call 3', 0, 0, 0
+UNION ALL SELECT 'stored 2024-01-05', NULL, l, NULL FROM counted
+UNION ALL SELECT 'stored 2024-01-06', NULL, f, NULL FROM counted""",
+    "load_file_results": _with(_STAGED, _PRICED, _KEPT_PRODUCTS)
+    + """,
+line AS (
+  SELECT 'fact_orders' AS table_name, CAST(order_id % 4 AS INTEGER) AS part,
+         CASE WHEN customer_id IS NULL THEN 'customer_id: missing' WHEN quantity IS NULL THEN 'quantity: missing'
+              WHEN unit_price_usd IS NULL THEN 'unit_price_usd: missing' END AS error,
+         true AS last, order_id AS o1, product_id AS o2, quantity AS o3
+  FROM staged
+  UNION ALL
+  SELECT 'dim_product', CAST(e.product_id % 2 AS INTEGER), CASE WHEN e.price_usd IS NULL THEN 'price_usd: missing' END,
+         e.price_usd IS NOT NULL AND e.price_usd = k.price_usd, e.product_id, nth, 0
+  FROM entry e LEFT JOIN kept k ON e.product_id = k.product_id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY table_name, part ORDER BY o1 NULLS FIRST, o2 NULLS FIRST, o3 NULLS FIRST) - 1 AS nth_row
+  FROM line)
+SELECT table_name, part,
+       CASE WHEN COUNT(error) = 0 THEN 'loaded' WHEN COUNT(error) < COUNT(*) THEN 'partly loaded' ELSE 'failed' END AS status,
+       COUNT(*) AS staged, COUNT(*) FILTER (error IS NULL AND last) AS loaded, COUNT(error) AS rejected,
+       COUNT(*) FILTER (error IS NULL AND NOT last) AS superseded,
+       arg_min(error, nth_row) FILTER (error IS NOT NULL) AS first_error, MIN(nth_row) FILTER (error IS NOT NULL) AS first_error_row
+FROM placed GROUP BY table_name, part""",
     "fact_insert_rows": _with(_FACT) + f"""
 SELECT batch, COUNT(*) AS lines, COUNT(*) AS line_keys, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
 FROM fact_c, (VALUES ('rows-00000'), ('rows-00001')) AS b(batch) GROUP BY batch""",

@@ -42,6 +42,14 @@ class Lake:
     def rejects(self, table: str) -> str:
         return f"{self.root}/rejects/{table}"
 
+    def file_results(self, table: str) -> str:
+        """What each load made of each silver file."""
+        return f"{self.root}/results/{table}"
+
+    def loaded_files(self, table: str) -> str:
+        """Which silver files an append load has taken, a folder a load."""
+        return f"{self.root}/loaded_files/{table}"
+
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 

@@ -119,6 +119,52 @@ def test_every_file_is_loaded_once(spark, lake):
         load.load_fact(spark, lake, DAY_1, "replace_run")
 
 
+def test_results_by_file_sum_up_to_the_load(spark, lake):
+    stage(spark, lake, "fact_orders", [line(1), line(2, customer=None), line(3, quantity=None)])
+    first = lake.silver("fact_orders", DAY_1)
+    more = spark.createDataFrame([line(4), line(5)], silver.SCHEMAS["fact_orders"])
+    more.coalesce(1).write.mode("append").parquet(first)
+    none = spark.createDataFrame([line(6, customer=None)], silver.SCHEMAS["fact_orders"])
+    none.coalesce(1).write.mode("append").parquet(first)
+    result = load.load_fact(spark, lake, DAY_1, "replace_run")
+    rows = load.read_file_results(spark, lake, "fact_orders").collect()
+    assert tuple(sum(r[k] for r in rows) for k in ("staged", "loaded", "rejected", "superseded")) == result[1:]
+    assert {r.status for r in rows if r.staged == 2 and r.loaded == 2} == {"loaded"}
+    failed = [r for r in rows if r.status == "failed" and r.staged == 1 and r.first_error == "customer_id: missing"]
+    assert failed and all(r.first_error_row == 0 for r in failed)
+    # Loading again replaces that load's results.
+    load.load_fact(spark, lake, DAY_1, "replace_run")
+    assert load.read_file_results(spark, lake, "fact_orders").count() == len(rows)
+    assert load.read_rejects(spark, lake, "fact_orders").where("file IS NULL OR row IS NULL").count() == 0
+
+
+def test_a_batch_that_broke_off_is_loaded_with_its_own_files(spark, lake, monkeypatch):
+    stage(spark, lake, "fact_orders", [line(1), line(2, customer=None)])
+    whole = load.write_fact
+
+    def breaks(*args, **kwargs):
+        whole(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(load, "write_fact", breaks)
+    with pytest.raises(RuntimeError):
+        append_new_files(spark, lake)
+    monkeypatch.setattr(load, "write_fact", whole)
+    stage(spark, lake, "fact_orders", [line(3, price="5.00")], DAY_2)
+    assert append_new_files(spark, lake, bytes_per_trigger=1) == ("fact_orders", 3, 2, 1, 0)
+    assert totals(spark, lake) == {DAY_1: Decimal("1.00"), DAY_2: Decimal("5.00")}
+    results = load.read_file_results(spark, lake, "fact_orders")
+    assert results.agg(F.sum("loaded"), F.sum("rejected")).first() == (2, 1)
+    assert append_new_files(spark, lake) == ("fact_orders", 0, 0, 0, 0)
+
+
+def test_small_files_are_dealt_into_batches(spark, lake):
+    for n in range(5):
+        stage(spark, lake, "fact_orders", [line(n)], date(2024, 3, n + 1))
+    assert append_new_files(spark, lake, bytes_per_trigger=2 << 20)[1:3] == (5, 5)
+    assert load.read_gold(spark, lake, "fact_orders").select("batch").distinct().count() >= 3
+
+
 def test_a_stream_load_writes_few_files_for_many_dates(spark, lake):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
