@@ -15,7 +15,7 @@ from cartmill.operators import audit, dims, enrich, facts, load, reports
 from cartmill.plans import job
 from cartmill.schemas import DIM_PRODUCT, FACT_ORDERS, SOURCES
 from cartmill.session import tune, work_folder
-from cartmill.sources import bronze, silver, tables
+from cartmill.sources import bronze, documents, silver, tables
 from cartmill.sources.lake import Lake
 from cartmill.streaming.append import append_new_files
 
@@ -258,14 +258,45 @@ def bronze_documents_roundtrip(spark, folder):
         )
         text = F.concat(F.lit("[\n"), F.array_join(F.transform("e", lambda e: e["body"]), ",\n"), F.lit("]"))
         listed.select("part", text.alias("value")).repartition("part").write.partitionBy("part").text(dropped)
-        if bronze.unreadable(spark, dropped):
+        cut = documents.cut(spark, dropped)
+        if bronze.unreadable(spark, dropped, cut=cut):
             raise ValueError(f"{source}: documents came back unreadable")
-        bronze.land(bronze.read_documents(spark, dropped), lake, source, DAY_1)
+        bronze.land(cut.elements(), lake, source, DAY_1)
     lines = bronze.cart_lines(bronze.carts(bronze.scan(spark, lake, "carts", DAY_1)))
     product = dims.dim_product(bronze.products(bronze.scan(spark, lake, "products", DAY_1)))
     return load.accepted(job.priced(lines, product), FACT_ORDERS)
 
 
+#: The beginning of an element with brackets, quotes and escapes in a string, nested, oddly spaced.
+ODD_TEXT = r'''{ "a":[1.10, {"b":"]}, \\\" [{"}],''' + "\t" + '"id":'
+
+
+@query
+def bronze_document_bytes(spark, folder):
+    """List documents of up to 5,000 orders, read in ranges of 64 kB that cut them anywhere:
+    every element's bytes."""
+    dropped = _lake(spark).incoming("carts", DAY_1)
+    order = tables.table(spark, folder, "orders")
+    body = F.concat(F.lit(ODD_TEXT), F.col("o_orderkey").cast("string"), F.lit(" }"))
+    gap = F.when(F.col("o_orderkey") % 3 == 0, F.lit(" \n")).otherwise(F.lit(""))
+    listed = order.groupBy(F.expr("o_orderkey div 5000").alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("o_orderkey", F.concat(gap, body).alias("body")))).alias("e")
+    )
+    text = F.concat(F.lit("[\r\n"), F.array_join(F.transform("e", lambda e: e["body"]), "\t,"), F.lit("\n]"))
+    listed.select("part", text.alias("value")).repartition("part").write.partitionBy("part").text(dropped)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    try:
+        cut = documents.cut(spark, dropped)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    if bronze.unreadable(spark, dropped, cut=cut):
+        raise ValueError("documents came back unreadable")
+    return cut.elements().select(
+        F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256"), F.octet_length("body").cast("bigint").alias("bytes")
+    )
+
+
 @query
 def bronze_unreadable(spark, folder):
     """Elements cut short in four feeds are kept, by source."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartmill.frames import Frames
 from cartmill.operators import dims, enrich, facts, load, reports
 from cartmill.schemas import SOURCES, TABLES, Table
-from cartmill.sources import bronze, silver
+from cartmill.sources import bronze, documents, silver
 from cartmill.sources.lake import Lake
 
 COUNTRY_COLUMNS = (
@@ -73,6 +73,8 @@ def star(feed: Mapping[str, DataFrame]) -> Frames:
 
 
 DOCUMENT, LINES = "document", "lines"
+#: Sources whose document is one object.
+OBJECTS = ("fx_rates",)
 
 
 def land_incoming(
@@ -88,23 +90,24 @@ def land_incoming(
     odd = {s: f for s, f in formats.items() if f not in (DOCUMENT, LINES)}
     if odd:
         raise ValueError(f"unknown formats: {odd}")
+    incoming = {source: lake.incoming(source, run_date) for source in SOURCES}
+    lists = {s: documents.cut(spark, incoming[s]) for s, f in formats.items() if f == DOCUMENT and s not in OBJECTS}
     bad = {
         source: found
         for source, form in formats.items()
         if form == DOCUMENT
-        and (found := bronze.unreadable(spark, lake.incoming(source, run_date), source != "fx_rates"))
+        and (found := bronze.unreadable(spark, incoming[source], source not in OBJECTS, lists.get(source)))
     }
     if bad:
         raise ValueError(f"unreadable documents, nothing was landed: {bad}")
     landed = {}
     for source, form in formats.items():
-        path = lake.incoming(source, run_date)
-        elements = (
-            bronze.read_lines(spark, path)
-            if form == LINES
-            # The first of a country's currencies counts, so there the order of keys matters.
-            else bronze.read_documents(spark, path, source != "fx_rates", key_order=source == "countries")
-        )
+        if form == LINES:
+            elements = bronze.read_lines(spark, incoming[source])
+        elif source in lists:
+            elements = lists[source].elements()
+        else:
+            elements = bronze.read_documents(spark, incoming[source], listed=False)
         landed[source] = bronze.land(elements, lake, source, run_date)
     return landed
 

@@ -282,6 +282,9 @@ SELECT product_id, name, category, CAST(kept.price_usd AS DECIMAL(10,2)) AS pric
        rating_rate, rating_count
 FROM part_c JOIN kept USING (product_id)""",
     "bronze_documents_roundtrip": _with(_FACT) + "SELECT * FROM fact_c",
+    "bronze_document_bytes": r"""
+SELECT sha256(body) AS body_sha256, strlen(body) AS bytes
+FROM (SELECT '{ "a":[1.10, {"b":"]}, \\\" [{"}],' || chr(9) || '"id":' || o_orderkey || ' }' AS body FROM orders)""",
     "bronze_unreadable": """
 SELECT 'products' AS source, COUNT(*) AS rows FROM part WHERE p_partkey % 97 = 0
 UNION ALL SELECT 'carts', COUNT(*) FROM orders WHERE o_orderkey % 97 = 0

@@ -1,10 +1,9 @@
 """Bronze: JSON elements, one row each, per source and run date.
 
 A row is one element of the source's list (the whole document where the source is a
-single object) with its place in the feed. Elements that come as lines keep their text byte
-for byte. Elements of a list document keep their values, also numbers of up to 38 digits, but
-not their spelling: 1.10 becomes 1.1. Parquet around them keeps the snapshot compressed and
-splittable, which one long document or gzip lines are not.
+single object) with its place in the feed. Elements keep their text byte for byte, whether
+they come as lines or in a list document (see documents). Parquet around them keeps the
+snapshot compressed and splittable, which one long document or gzip lines are not.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmill.functions import clean
+from cartmill.sources import documents
 from cartmill.sources.lake import Lake
 
 SCHEMA = "doc string, block bigint, pos bigint, body string"
@@ -22,42 +22,33 @@ SCHEMA = "doc string, block bigint, pos bigint, body string"
 FEED_ORDER = ("doc", "block", "pos")
 
 
-def read_documents(
-    spark: SparkSession, path: str, listed: bool = True, key_order: bool = False
-) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, listed: bool = True) -> DataFrame:
     """Elements of whole JSON documents: each is a list (listed) or one object.
 
-    With key_order an element's keys stay in the order they came in, but its numbers are
-    those a double holds; else all digits of numbers stay, and keys come sorted.
-
-    A document is one task's work, so large feeds should come as many documents or as
-    lines (read_lines). A document that is no JSON, or no list, gives no rows: see unreadable.
+    Lists are cut by as many tasks as their files have splits, objects are one task's work each.
+    A document that is no list gives whatever can be cut from it: see unreadable.
     """
-    docs = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("doc"), F.lit(0).cast("bigint").alias("block"), "value"
-    )
-    if not listed:
-        return docs.select("doc", "block", F.lit(0).cast("bigint").alias("pos"), F.col("value").alias("body"))
-    if key_order:
-        texts = F.from_json("value", "array<string>")
-        return docs.select("doc", "block", F.posexplode(texts).alias("pos", "body")).select(
-            "doc", "block", F.col("pos").cast("bigint").alias("pos"), F.coalesce("body", F.lit("null")).alias("body")
-        )
-    elements = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
-    return docs.select("doc", "block", F.posexplode(elements).alias("pos", "element")).select(
-        "doc",
-        "block",
-        F.col("pos").cast("bigint").alias("pos"),
-        F.coalesce(F.to_json("element"), F.lit("null")).alias("body"),
+    if listed:
+        return documents.cut(spark, path).elements()
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("doc"),
+        F.lit(0).cast("bigint").alias("block"),
+        F.lit(0).cast("bigint").alias("pos"),
+        F.col("value").alias("body"),
     )
 
 
-def unreadable(spark: SparkSession, path: str, listed: bool = True) -> list[str]:
-    """Up to ten of the documents that are empty, no JSON, or no list (not listed: no object)."""
-    kind = F.schema_of_variant(F.try_parse_json("value"))
-    fits = kind.startswith("ARRAY<") if listed else kind.startswith("OBJECT<")
-    broken = spark.read.text(path, wholetext=True).where(~F.coalesce(fits, F.lit(False)))
-    found = [r["doc"] for r in broken.select(F.col("_metadata.file_path").alias("doc")).limit(10).collect()]
+def unreadable(spark: SparkSession, path: str, listed: bool = True, cut: documents.Documents | None = None) -> list[str]:
+    """Up to ten of the documents that are empty or not one whole list (not listed: no object).
+
+    `cut` are the documents where they have been cut already.
+    """
+    if listed:
+        found = (cut or documents.cut(spark, path)).unreadable()
+    else:
+        kind = F.schema_of_variant(F.try_parse_json("value"))
+        broken = spark.read.text(path, wholetext=True).where(~F.coalesce(kind.startswith("OBJECT<"), F.lit(False)))
+        found = [r["doc"] for r in broken.select(F.col("_metadata.file_path").alias("doc")).limit(10).collect()]
     # Spark reads no row from a file without a byte.
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True)
