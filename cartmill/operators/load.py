@@ -8,7 +8,7 @@ their reasons and original values.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -227,46 +227,77 @@ def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date) -
     return name, total, loaded, bad, total - loaded - bad
 
 
-LEDGER_SCHEMA = "load string, at timestamp, first_key bigint, last_key bigint"
+#: A unit of line keys: room for 1,024 writing tasks of 2^33 rows each.
+TASK_BITS = 33
+UNIT_TASKS = 1 << 10
+UNIT = UNIT_TASKS << TASK_BITS
 
 
-def _ledger(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    """The ledger's rows; None before the first load."""
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create a file only if it is absent; False where somebody else has."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(at.getParent())
+    if system.getUri().getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; this is one step.
+        return spark._jvm.java.io.File(at.toUri().getPath()).createNewFile()
+    try:
+        system.create(at, False).close()
+    except Exception:
+        if system.exists(at):
+            return False
+        raise
+    return True
+
+
+def _units(spark: SparkSession, lake: Lake) -> list[int]:
+    """Units claimed so far."""
     at = spark._jvm.org.apache.hadoop.fs.Path(lake.ledger)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return spark.read.schema(LEDGER_SCHEMA).parquet(lake.ledger)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(at)]
+    return [int(n.removeprefix("unit-")) for n in names if n.startswith("unit-")]
+
 
+@dataclass(frozen=True)
+class Lease:
+    """Line keys from first on, below end, that no other load has."""
+
+    first: int
+    end: int
 
-def _note(spark: SparkSession, lake: Lake, load: str, first: int, last: int | None) -> None:
-    row = spark.createDataFrame([(load, datetime.now(timezone.utc), first, last)], LEDGER_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(lake.ledger)
+    def check(self, last: int | None) -> None:
+        """Rows are keyed by task: more tasks than the lease has room for would run into others' keys."""
+        if last is not None and last >= self.end:
+            raise RuntimeError(f"line key {last} is beyond the lease's end {self.end}")
 
 
-def begin_keys(spark: SparkSession, lake: Lake, load: str) -> int:
-    """The first line key of a load: beyond those of every load before.
+def lease_keys(spark: SparkSession, lake: Lake, tasks: int | None = None) -> Lease:
+    """Claim consecutive units with room for so many writing tasks (the shuffles' number by default).
 
-    The ledger has a row for the beginning and one for the end of each load, with its first
-    and last key, so gold isn't read. Only where a load broke off before its end was noted is
-    the highest key looked up there. Loads of one lake must not run at the same time.
+    A unit is a file that is created only if absent, so loads may run at the same time. Where
+    another load takes a unit in between, the units so far stay unused and the claim goes on
+    behind it. A lake without units, but with lines, begins above the highest key stored.
     """
-    noted = _ledger(spark, lake)
-    first = 0
-    if noted is not None:
-        row = noted.agg(
-            F.max("last_key").alias("last"),
-            F.count_if(F.col("last_key").isNull()).alias("begun"),
-            F.count("last_key").alias("ended"),
-        ).first()
-        last = row["last"]
-        if row["begun"] != row["ended"]:
+    if tasks is None:
+        first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0
+        tasks = max(int(first), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    needed = -(-tasks // UNIT_TASKS)
+    known = _units(spark, lake)
+    if known:
+        at = max(known) + 1
+    else:
+        stored = None
+        if has_loads(spark, lake, "*"):
             stored = read_gold(spark, lake, FACT_ORDERS.name).agg(F.max("order_line_id")).first()[0]
-            last = max(x for x in (last, stored, -1) if x is not None)
-            for _ in range(row["begun"] - row["ended"]):
-                _note(spark, lake, "recovered", last, last)
-        first = (last if last is not None else -1) + 1
-    _note(spark, lake, load, first, None)
-    return first
+        at = 0 if stored is None else stored // UNIT + 1
+    begin = at
+    while at < begin + needed:
+        if not _claim(spark, f"{lake.ledger}/unit-{at:09d}"):
+            begin = at + 1
+        at += 1
+    return Lease(begin * UNIT, at * UNIT)
 
 
 def line_key(first: int) -> Column:
@@ -313,10 +344,9 @@ def write_fact(
     """Write one load's rows. With `replace` the whole table is replaced; with a run_date that
     load's own folder is, also by nothing where no row is accepted; else the (run_date, batch)
     folders the load writes, so repeating it changes nothing else."""
-    name = f"{run_date or 'stream'}/{batch}"
-    first = begin_keys(spark, lake, name)
+    lease = lease_keys(spark, lake)
     seen = Observation(f"loaded_{batch}")
-    good = _fact_rows(staged, first, batch).observe(
+    good = _fact_rows(staged, lease.first, batch).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max("order_line_id").alias("last")
     )
     folders = [c.name for c in FACT_ORDERS.partition_by]
@@ -329,8 +359,7 @@ def write_fact(
             lake.load_folder(FACT_ORDERS.name, run_date, batch)
         )
     found = seen.get
-    last = found["last"] if found["last"] is not None else first - 1
-    _note(spark, lake, name, first, last)
+    lease.check(found["last"])
     follow(spark, lake, FACT_ORDERS.name)
     return found["rows"]
 
@@ -412,11 +441,11 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
     spark, table = rows.sparkSession, TABLES[name]
     batch = f"rows-{load:05d}"
     if table is FACT_ORDERS:
-        first = begin_keys(spark, lake, f"{run_date}/{batch}")
+        lease = lease_keys(spark, lake)
         # Not from files, so there is no place in a file to break ties by: the row's own values do.
         values = [F.col(f"`{c}`").cast("string") for c in rows.columns]
         staged = rows.withColumns({"run_date": F.lit(run_date), "_tie": F.xxhash64(*values)})
-        good = _fact_rows(staged, first, batch).drop("run_date", "batch")
+        good = _fact_rows(staged, lease.first, batch).drop("run_date", "batch")
         path, mode = lake.load_folder(name, run_date, batch), "errorifexists"
         last = F.max("order_line_id")
     else:
@@ -425,8 +454,7 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
     good = good.observe(seen, F.count(F.lit(1)).alias("rows"), last.alias("last"))
     good.write.mode(mode).option("compression", "snappy").parquet(path)
     if table is FACT_ORDERS:
-        found = seen.get["last"]
-        _note(spark, lake, f"{run_date}/{batch}", first, found if found is not None else first - 1)
+        lease.check(seen.get["last"])
     bad = _write_rejects(rows, lake, table, run_date, batch)
     follow(spark, lake, name)
     return name, seen.get["rows"], bad

@@ -87,15 +87,21 @@ def top_products(star: Star) -> DataFrame:
         _units().alias("units_sold"), _revenue().alias("revenue_usd")
     )
     product = star["dim_product"].select("product_id", "name", "category", "price_usd")
-    known = sold.join(product, "product_id")
-    values = known.groupBy(F.col("revenue_usd").alias("_value")).agg(F.count("*").alias("_products"))
+    known = sold.join(product.select("product_id"), "product_id", "left_semi")
+    # The values take a column of each product's row that they need no more than for this: so
+    # both uses of `known` are one and the same plan, and the fact is read and added up once.
+    values = known.groupBy(F.col("revenue_usd").alias("_value")).agg(
+        F.count("*").alias("_products"), F.max(F.coalesce("units_sold", F.lit(0))).alias("_most")
+    )
     best = values.orderBy(F.desc_nulls_last("_value")).limit(TOP)
     # One task, over TOP values.
     above = Window.orderBy(F.desc_nulls_last("_value")).rowsBetween(Window.unboundedPreceding, -1)
     ranks = best.select(
-        "_value", (F.coalesce(F.sum("_products").over(above), F.lit(0)) + 1).cast("int").alias("revenue_rank")
+        "_value", "_most", (F.coalesce(F.sum("_products").over(above), F.lit(0)) + 1).cast("int").alias("revenue_rank")
     ).where(F.col("revenue_rank") <= TOP)
-    ranked = known.join(F.broadcast(ranks), known["revenue_usd"].eqNullSafe(F.col("_value")))
+    same = known["revenue_usd"].eqNullSafe(F.col("_value")) & (F.coalesce(known["units_sold"], F.lit(0)) <= F.col("_most"))
+    # Names and prices are only looked up for the winners.
+    ranked = known.join(F.broadcast(ranks), same).join(product, "product_id")
     return ranked.select(
         "product_id",
         F.col("name").alias("product_name"),

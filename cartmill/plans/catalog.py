@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cartmill.frames import Frames
 from cartmill.functions import clean
-from cartmill.operators import audit, dims, enrich, facts, load, reports
+from cartmill.operators import audit, dims, enrich, facts, load, partials, reports
 from cartmill.plans import job
 from cartmill.schemas import DIM_PRODUCT, FACT_ORDERS, SOURCES
 from cartmill.session import tune, work_folder
@@ -513,6 +513,55 @@ def _age(spark: SparkSession, folder: str, days: int) -> None:
         system.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
 
 
+@query
+def distinct_orders_merged(spark, folder):
+    """Orders by day and category as bitmaps, added up to days, weeks and categories."""
+    star = _star(spark, folder)
+    lines = star["fact_orders"].join(star["dim_product"].select("product_id", "category"), "product_id")
+    each = partials.partial(lines, "date_id", "category").join(
+        star["dim_date"].select("date_id", "year", F.weekofyear("full_date").alias("week_num")), "date_id"
+    )
+    labels = {
+        "day": F.col("date_id").cast("string"),
+        "week": F.format_string("%d-%02d", "year", "week_num"),
+        "category": F.col("category"),
+    }
+    found = [
+        partials.totals(each.withColumn("label", label), "label").select(
+            F.lit(kind).alias("kind"), "label", "total_orders", "lines", "units_sold", "revenue_usd"
+        )
+        for kind, label in labels.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _two_loads(spark: SparkSession, folder: str) -> tuple[Lake, list[list[str]]]:
+    """Two loads and the first one again, each followed by a refresh: which folders those read."""
+    lake = _lake(spark)
+    _stage_two_days(spark, folder, lake)
+    _star(spark, folder)["dim_date"].write.parquet(lake.gold("dim_date"))
+    refreshed = []
+    for run_date in (DAY_1, DAY_2, DAY_1):
+        load.load_fact(spark, lake, run_date, "replace_run")
+        refreshed.append(partials.refresh(spark, lake))
+    return lake, refreshed
+
+
+@query
+def rpt_daily_incremental(spark, folder):
+    """The daily report kept up load by load."""
+    return partials.daily_revenue(spark, _two_loads(spark, folder)[0])
+
+
+@query
+def weekly_orders_incremental(spark, folder):
+    """Weeks whose orders come from two loads, which repeat orders of each other."""
+    lake, refreshed = _two_loads(spark, folder)
+    if [len(folders) for folders in refreshed] != [1, 1, 1] or partials.refresh(spark, lake):
+        raise ValueError(f"a refresh read more than its load: {refreshed}")
+    return partials.weekly_orders(spark, lake)
+
+
 @query
 def load_file_results(spark, folder):
     """Silver of lines in four files and of products in two: what became of each file's rows."""

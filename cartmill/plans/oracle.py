@@ -82,6 +82,12 @@ loaded AS (
   SELECT *, CAST(unit_price_usd * quantity AS DECIMAL(12,2)) AS total_usd FROM staged
   WHERE customer_id IS NOT NULL AND quantity IS NOT NULL AND unit_price_usd IS NOT NULL)"""
 
+# The faulty lines that were loaded, and the clean ones.
+_BOTH_LOADS = """
+both_loads AS (
+  SELECT order_id, date_id, quantity, total_usd FROM loaded
+  UNION ALL SELECT order_id, date_id, quantity, total_usd FROM fact_c)"""
+
 _PRICED = """
 entry AS (
   SELECT p_partkey AS product_id, 0 AS nth,
@@ -362,6 +368,23 @@ UNION ALL SELECT 'call 2', s, l, s - l FROM counted
 UNION ALL SELECT 'call 3', 0, 0, 0
 UNION ALL SELECT 'stored 2024-01-05', NULL, l, NULL FROM counted
 UNION ALL SELECT 'stored 2024-01-06', NULL, f, NULL FROM counted""",
+    "distinct_orders_merged": _with(_FACT, _PART, _DATE)
+    + f""",
+labelled AS (
+  SELECT f.*, category, strftime(full_date, '%Y') || '-' || lpad(CAST(weekofyear(full_date) AS VARCHAR), 2, '0') AS week
+  FROM fact_c f JOIN part_c USING (product_id) JOIN date_c USING (date_id)),
+kinds AS (
+  SELECT 'day' AS kind, CAST(date_id AS VARCHAR) AS label, * FROM labelled
+  UNION ALL SELECT 'week', week, * FROM labelled UNION ALL SELECT 'category', category, * FROM labelled)
+SELECT kind, label, COUNT(DISTINCT order_id) AS total_orders, COUNT(*) AS lines,
+       CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
+FROM kinds GROUP BY kind, label""",
+    "rpt_daily_incremental": _with(_FACT, _STAGED, _DATE, _BOTH_LOADS) + _daily("both_loads", "date_c"),
+    "weekly_orders_incremental": _with(_FACT, _STAGED, _DATE, _BOTH_LOADS)
+    + f"""
+SELECT "year", CAST(weekofyear(full_date) AS INTEGER) AS week_num, COUNT(DISTINCT order_id) AS total_orders,
+       CAST(SUM(total_usd) AS {_USD}) AS revenue_usd
+FROM both_loads JOIN date_c USING (date_id) GROUP BY 1, 2""",
     "load_file_results": _with(_STAGED, _PRICED, _KEPT_PRODUCTS)
     + """,
 line AS (

@@ -36,7 +36,7 @@ class Lake:
 
     @property
     def ledger(self) -> str:
-        """Which line keys each load has taken."""
+        """Units of line keys that loads have taken, an empty file each."""
         return f"{self.root}/ledger"
 
     def rejects(self, table: str) -> str:
@@ -50,6 +50,10 @@ class Lake:
         """Which silver files an append load has taken, a folder a load."""
         return f"{self.root}/loaded_files/{table}"
 
+    def partials(self, table: str) -> str:
+        """Results of each load that add up to those of all."""
+        return f"{self.root}/partials/{table}"
+
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 

@@ -8,8 +8,6 @@ again by its number, with the very files it had, and written anew.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 

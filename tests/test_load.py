@@ -197,21 +197,44 @@ def test_inserted_rows_cannot_be_added_twice(spark, lake):
 
 
 def test_line_keys_of_different_loads_never_meet(spark, lake):
-    def keys(first):
-        return {r.k for r in spark.range(0, 1000, 1, 8).select(load.line_key(first).alias("k")).collect()}
+    def keys(lease):
+        found = {r.k for r in spark.range(0, 1000, 1, 8).select(load.line_key(lease.first).alias("k")).collect()}
+        assert lease.first <= min(found) and max(found) < lease.end
+        return found
 
-    found = []
-    for number in range(3):
-        first = load.begin_keys(spark, lake, f"load {number}")
-        found.append(keys(first))
-        load._note(spark, lake, f"load {number}", first, max(found[-1]))
-    assert len(set().union(*found)) == 3000
+    leases = [load.lease_keys(spark, lake, tasks) for tasks in (8, 3000, 8)]
+    assert len(set().union(*map(keys, leases))) == 3000
+    assert [(x.end - x.first) // load.UNIT for x in leases] == [1, 3, 1]
+    with pytest.raises(RuntimeError, match="beyond"):
+        leases[0].check(leases[1].first)
+
+
+def test_leases_taken_at_once_never_meet(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        leases = sorted(pool.map(lambda n: load.lease_keys(spark, lake, 1 + n % 3 * 1024), range(40)), key=lambda x: x.first)
+    assert all(x.end <= y.first for x, y in zip(leases, leases[1:]))
+    assert all((x.end - x.first) // load.UNIT in (1, 2, 3) for x in leases)
+
+
+def test_two_loads_at_once_have_keys_of_their_own(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    days = (DAY_1, DAY_2)
+    for k, day in enumerate(days):
+        stage(spark, lake, "fact_orders", [line(100 * k + i) for i in range(50)], day)
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(lambda day: load.load_fact(spark, lake, day, "replace_run"), days))
+    assert [r[2] for r in results] == [50, 50]
+    keys = load.read_gold(spark, lake, "fact_orders").select("order_line_id")
+    assert keys.count() == keys.distinct().count() == 100
 
 
 def test_keys_go_on_after_a_load_that_broke_off(spark, lake):
     stage(spark, lake, "fact_orders", [line(k) for k in range(50)])
     load.load_fact(spark, lake, DAY_1, "replace_run")
-    load.begin_keys(spark, lake, "broken off")
+    load.lease_keys(spark, lake)  # a load that ends here
     stage(spark, lake, "fact_orders", [line(k) for k in range(50)], DAY_2)
     load.load_fact(spark, lake, DAY_2, "replace_run")
     rows = spark.createDataFrame([line(k) for k in range(50)], silver.SCHEMAS["fact_orders"])
@@ -220,6 +243,16 @@ def test_keys_go_on_after_a_load_that_broke_off(spark, lake):
     assert keys.count() == keys.distinct().count() == 150
 
 
+def test_a_lake_without_units_begins_above_its_lines(spark, lake):
+    import shutil
+
+    stage(spark, lake, "fact_orders", [line(1)])
+    load.load_fact(spark, lake, DAY_1, "replace_run")
+    highest = load.read_gold(spark, lake, "fact_orders").first().order_line_id
+    shutil.rmtree(lake.ledger)
+    assert load.lease_keys(spark, lake).first > highest
+
+
 def test_hot_day_and_product_is_cut_into_several_files(spark, lake):
     """A third of the lines, all alike, must not end up in one task."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
