@@ -7,6 +7,7 @@ their reasons and original values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from cartmill.operators.facts import last_per_key
 from cartmill.schemas import FACT_ORDERS, LOAD_ORDER, TABLES, Table
 from cartmill.schemas import Column as Spec
-from cartmill.sources import silver
+from cartmill.sources import silver, versions
 from cartmill.sources.lake import Lake
 
 RESULT_SCHEMA = "table_name string, staged bigint, loaded bigint, rejected bigint, superseded bigint"
@@ -211,19 +212,24 @@ def read_file_results(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(lake.file_results(name))
 
 
-def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date) -> tuple:
-    """Full refresh of one dimension from one run date's silver table."""
+def load_dimension(spark: SparkSession, lake: Lake, name: str, run_date: date, published: bool = True) -> tuple:
+    """Full refresh of one dimension from one run date's silver table.
+
+    Readers see the old rows until the new ones are all there (versions). With `published`, what
+    is published shows them from then on; else `follow` is left to the caller.
+    """
     table, recency = TABLES[name], silver.RECENCY.get(name, ())
     staged = placed(silver.read(spark, lake, name, run_date))
     good, seen = _count(gold_rows(staged, table, recency), f"loaded_{name}")
-    good.write.mode("overwrite").option("compression", "snappy").parquet(lake.gold(name))
+    versions.replace(good, lake.gold(name))
     loaded = seen.get["rows"]
     total = staged.count()  # from Parquet footers
     bad = _write_rejects(staged, lake, table, run_date, "run", any_bad=loaded < total)
     # Which file a superseded row came from is only asked where there is one.
     kept = gold_rows(staged, table, recency, keep=(f"{FILE} AS file",)) if loaded + bad < total else None
     _write_file_results(staged, lake, table, run_date, "run", bad, kept)
-    follow(spark, lake, name)
+    if published:
+        follow(spark, lake, name)
     return name, total, loaded, bad, total - loaded - bad
 
 
@@ -364,24 +370,50 @@ def write_fact(
     return found["rows"]
 
 
-def follow(spark: SparkSession, lake: Lake, name: str) -> None:
-    """Make what is published show a table's new files: the views, which hold listings, and
-    the catalog table, whose new folders are registered."""
-    if name == FACT_ORDERS.name and _catalog_location(spark, name) == _qualified(spark, lake.gold(name)):
-        spark.sql(f"MSCK REPAIR TABLE {_catalog_name(spark, name)} SYNC PARTITIONS")
-    for view in PUBLISHED:
-        if spark.catalog.tableExists(view):
+def follow(spark: SparkSession, lake: Lake, *names: str) -> None:
+    """Make what is published show these tables' new files: the views of the session, which
+    hold folders and listings, and the catalog's tables."""
+    for name in names:
+        if name == FACT_ORDERS.name:
+            if _catalog_location(spark, name) == _qualified(spark, lake.gold(name)):
+                spark.sql(f"MSCK REPAIR TABLE {_catalog_name(spark, name)} SYNC PARTITIONS")
+        elif name in TABLES:
+            _relocate(spark, lake, name)
+    root, publisher, views = PUBLISHED.get(_session(spark), (None, None, ()))
+    if root != lake.root:
+        return
+    if any(name != FACT_ORDERS.name for name in names):
+        publisher()
+    else:
+        for view in views:
             spark.catalog.refreshTable(view)
 
 
+def _relocate(spark: SparkSession, lake: Lake, name: str) -> None:
+    """Point the catalog's table at the current version, where it is over this lake."""
+    at, now = _catalog_location(spark, name), _qualified(spark, gold_folder(spark, lake, name))
+    if at is not None and at != now and at.startswith(_qualified(spark, lake.gold(name))):
+        spark.sql(f"ALTER TABLE {_catalog_name(spark, name)} SET LOCATION '{now}'")
+        spark.catalog.refreshTable(_catalog_name(spark, name))
+
+
+def _session(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()
+
+
+def follow_loads(spark: SparkSession, lake: Lake, views: list[str], publisher: Callable[[], object]) -> None:
+    """Keep views of the session up to date with loads of this lake: `publisher` defines them."""
+    PUBLISHED[_session(spark)] = lake.root, publisher, tuple(views)
+
+
 def has_loads(spark: SparkSession, lake: Lake, batch: str) -> bool:
     """Whether the fact has folders of loads whose batch matches a glob pattern."""
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{lake.gold(FACT_ORDERS.name)}/run_date=*/batch={batch}")
     return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at))
 
 
-#: Views of the session that show gold tables; filled by whoever publishes them.
-PUBLISHED: set[str] = set()
+#: By session: the lake that its views show, how they are defined, and their names.
+PUBLISHED: dict[str, tuple[str, Callable[[], object], tuple[str, ...]]] = {}
 #: How fact rows come in: see load_fact; the last is streaming.append.
 FACT_MODES = ("snapshot", "replace_run", "append_new_files")
 
@@ -421,7 +453,9 @@ def load_all(
     """
     if fact_mode not in FACT_MODES:
         raise ValueError(f"{fact_mode} is none of {FACT_MODES}")
-    results = [load_dimension(spark, lake, t.name, run_date) for t in LOAD_ORDER[:-1]]
+    dimensions = [t.name for t in LOAD_ORDER[:-1]]
+    results = [load_dimension(spark, lake, name, run_date, published=False) for name in dimensions]
+    follow(spark, lake, *dimensions)
     if fact_mode == "append_new_files":
         from cartmill.streaming.append import append_new_files
 
@@ -449,7 +483,7 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
         path, mode = lake.load_folder(name, run_date, batch), "errorifexists"
         last = F.max("order_line_id")
     else:
-        good, path, mode, last = accepted(rows, table), lake.gold(name), "append", F.max(F.lit(None).cast("bigint"))
+        good, path, mode, last = accepted(rows, table), gold_folder(spark, lake, name), "append", F.max(F.lit(None).cast("bigint"))
     seen = Observation(f"rows_{name}")
     good = good.observe(seen, F.count(F.lit(1)).alias("rows"), last.alias("last"))
     good.write.mode(mode).option("compression", "snappy").parquet(path)
@@ -460,8 +494,13 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
     return name, seen.get["rows"], bad
 
 
+def gold_folder(spark: SparkSession, lake: Lake, name: str) -> str:
+    """Where a gold table's rows are now: dimensions have versions, the fact a folder a load."""
+    return lake.gold(name) if name == FACT_ORDERS.name else versions.current(spark, lake.gold(name))
+
+
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name].schema).parquet(lake.gold(name))
+    return spark.read.schema(TABLES[name].schema).parquet(gold_folder(spark, lake, name))
 
 
 def read_rejects(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
@@ -495,9 +534,10 @@ def create_tables(spark: SparkSession, lake: Lake, suffix: str = "") -> list[str
     for table in LOAD_ORDER:
         name = f"{table.name}{suffix}"
         full, at = _catalog_name(spark, name), _catalog_location(spark, name)
-        if at is not None and at != _qualified(spark, lake.gold(table.name)):
+        folder = gold_folder(spark, lake, table.name)
+        if at is not None and at != _qualified(spark, folder):
             spark.sql(f"DROP TABLE {full}")
-        spark.sql(table.create_sql(full, lake.gold(table.name)))
+        spark.sql(table.create_sql(full, folder))
         if table.partition_by:
             folder = spark._jvm.org.apache.hadoop.fs.Path(lake.gold(table.name))
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)

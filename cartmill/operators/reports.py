@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartmill.functions.clean import exact_mean
 from cartmill.operators import load
 from cartmill.schemas import LOAD_ORDER
+from cartmill.sources import versions
 from cartmill.sources.lake import Lake
 
 Star = Mapping[str, DataFrame]
@@ -201,17 +202,26 @@ def read_star(spark: SparkSession, lake: Lake) -> Star:
     return {t.name: load.read_gold(spark, lake, t.name) for t in LOAD_ORDER}
 
 
-def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
-    """(Re)define the tables and reports as views of the session; optionally also store
-    each report as Parquet. Reports always read the whole gold fact. Every load refreshes
-    the views, as each holds a listing of its files (load.follow)."""
+def define(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """(Re)define the tables and reports as views of the session; returns the reports."""
     star = read_star(spark, lake)
-    for name, rows in star.items():
+    found = {name: report(star) for name, report in REPORTS.items()}
+    for name, rows in {**star, **found}.items():
         rows.createOrReplaceTempView(name)
-    for name, report in REPORTS.items():
-        result = report(star)
-        result.createOrReplaceTempView(name)
+    return found
+
+
+def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
+    """Define the views, and optionally store each report as Parquet (read_report), replacing
+    it in one step. Reports always read the whole gold fact. Every load brings the views up to
+    date, as each holds folders and listings of files (load.follow)."""
+    for name, result in define(spark, lake).items():
         if materialise:
-            result.write.mode("overwrite").parquet(lake.report(name))
-    load.PUBLISHED.update((*star, *REPORTS))
+            versions.replace(result, lake.report(name))
+    load.follow_loads(spark, lake, [*(t.name for t in LOAD_ORDER), *REPORTS], lambda: define(spark, lake))
     return list(REPORTS)
+
+
+def read_report(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A stored report."""
+    return spark.read.parquet(versions.current(spark, lake.report(name)))

@@ -15,7 +15,7 @@ from cartmill.operators import audit, dims, enrich, facts, load, partials, repor
 from cartmill.plans import job
 from cartmill.schemas import DIM_PRODUCT, FACT_ORDERS, SOURCES
 from cartmill.session import tune, work_folder
-from cartmill.sources import bronze, documents, silver, tables
+from cartmill.sources import bronze, documents, silver, tables, versions
 from cartmill.sources.lake import Lake
 from cartmill.streaming.append import append_new_files
 
@@ -401,6 +401,27 @@ def full_refresh_twice(spark, folder):
     return load.read_gold(spark, lake, "dim_product")
 
 
+@query
+def refresh_seen_by_readers(spark, folder):
+    """A dimension replaced while it is read: what readers see that began before, between
+    writing the new rows and their becoming the table, and after."""
+    lake = _lake(spark)
+    for run_date, faulty in ((DAY_1, True), (DAY_2, False)):
+        records = bronze.products(tables.product_elements(spark, folder, faulty))
+        silver.write(dims.dim_product(records), lake, "dim_product", run_date)
+    load.load_dimension(spark, lake, "dim_product", DAY_1)
+    began = load.read_gold(spark, lake, "dim_product")
+    # A load that broke off: all its files are there, but not its marker.
+    fresh = versions.replace(load.read_gold(spark, lake, "dim_product").limit(0), f"{lake.root}/other")
+    spark.read.parquet(fresh).write.parquet(f"{lake.gold('dim_product')}/v000000009-00000000")
+    between = load.read_gold(spark, lake, "dim_product").agg(F.count("*").alias("products")).collect()[0][0]
+    load.load_dimension(spark, lake, "dim_product", DAY_2)
+    seen = {"began before": began, "after": load.read_gold(spark, lake, "dim_product")}
+    rows = [r.agg(F.lit(k).alias("reader"), F.count("*").alias("products")) for k, r in seen.items()]
+    rows.append(spark.createDataFrame([("between", between)], "reader string, products bigint"))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _stage_two_days(spark: SparkSession, folder: str, lake: Lake, days: tuple[date, ...] = (DAY_1, DAY_2)) -> None:
     """Silver facts of two run dates: faulty lines, then clean ones."""
     if DAY_1 in days:

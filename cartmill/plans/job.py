@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartmill.frames import Frames
 from cartmill.operators import dims, enrich, facts, load, reports
 from cartmill.schemas import SOURCES, TABLES, Table
-from cartmill.sources import bronze, documents, silver
+from cartmill.sources import bronze, documents, silver, versions
 from cartmill.sources.lake import Lake
 
 COUNTRY_COLUMNS = (
@@ -147,27 +147,33 @@ def load_countries(spark: SparkSession, lake: Lake, run_date: date) -> None:
     )
     countries = silver.read(spark, lake, "dim_country", run_date)
     enriched = enrich.customer_country(latest, countries).select(*COUNTRY_COLUMNS)
-    enriched.write.mode("overwrite").option("compression", "snappy").parquet(
-        lake.gold("customer_country")
-    )
+    versions.replace(enriched, lake.gold("customer_country"))
     load.follow(spark, lake, "customer_country")
 
 
-def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
-    """All views: tables, the six reports, customer countries and orders by country; and the
-    catalog's tables. Loads keep both up to date from then on."""
-    names = reports.publish(spark, lake, materialise)
+def define(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(Re)define all views; returns orders by country."""
+    reports.define(spark, lake)
     customers = spark.read.schema(
         "customer_id bigint, country_code string, country string, region string, "
         "subregion string, currency_code string"
-    ).parquet(lake.gold("customer_country"))
+    ).parquet(versions.current(spark, lake.gold("customer_country")))
     customers.createOrReplaceTempView("customer_country")
     by_country = enrich.orders_by_country(reports.read_star(spark, lake), customers)
     by_country.createOrReplaceTempView("rpt_orders_by_country")
+    return by_country
+
+
+def publish(spark: SparkSession, lake: Lake, materialise: bool = False) -> list[str]:
+    """All views: tables, the six reports, customer countries and orders by country; and the
+    catalog's tables. Loads keep both up to date from then on."""
+    names = reports.publish(spark, lake, materialise)
+    by_country = define(spark, lake)
     if materialise:
-        by_country.write.mode("overwrite").parquet(lake.report("rpt_orders_by_country"))
+        versions.replace(by_country, lake.report("rpt_orders_by_country"))
     load.create_tables(spark, lake)
-    load.PUBLISHED.update((*TABLES, *names, "customer_country", "rpt_orders_by_country"))
+    views = [*TABLES, *names, "customer_country", "rpt_orders_by_country"]
+    load.follow_loads(spark, lake, views, lambda: define(spark, lake))
     return [*names, "rpt_orders_by_country"]
 
 

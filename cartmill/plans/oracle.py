@@ -344,6 +344,10 @@ counted AS (
          (SELECT COUNT(*) FROM staged) - (SELECT COUNT(*) FROM loaded))
 SELECT table_name, staged, loaded, rejected, staged - loaded - rejected AS superseded FROM counted""",
     "full_refresh_twice": _with(_PART) + "SELECT * FROM part_c",
+    "refresh_seen_by_readers": _with(_PRICED, _KEPT_PRODUCTS)
+    + """
+SELECT 'began before' AS reader, COUNT(*) AS products FROM kept
+UNION ALL SELECT 'between', COUNT(*) FROM kept UNION ALL SELECT 'after', COUNT(*) FROM part""",
     "fact_replace_run": _with(_FACT, _STAGED)
     + f"SELECT DATE '2024-01-05' AS run_date, {_LINE_TOTALS} FROM loaded UNION ALL "
     f"SELECT DATE '2024-01-06', {_LINE_TOTALS} FROM fact_c",

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from cartmill.operators import load
+from cartmill.operators import load, reports
 from cartmill.plans import job
 from cartmill.schemas import TABLES
 from cartmill.sources import bronze
@@ -63,7 +63,7 @@ def test_a_day_from_the_drop_folder(spark, lake):
     country = spark.table("rpt_orders_by_country").orderBy("total_orders").collect()
     assert {(r.country, r.region, r.revenue_usd) for r in country} == {
         ("Peru", "Americas", Decimal("784.20")), (None, None, Decimal("0.00"))}
-    assert spark.read.parquet(lake.report("rpt_weekly_revenue")).count() == 2
+    assert reports.read_report(spark, lake, "rpt_weekly_revenue").count() == 2
 
     rejected = load.read_rejects(spark, lake, "dim_product").first()
     assert rejected.reasons == ["price_usd: not a number"] and '"n/a"' in json.loads(rejected.source_row)["_raw"]
