@@ -30,9 +30,9 @@ from cartmill.llm.store import process_cache, without
 
 SPACE = "▁"
 #: Characters of text encoded together: bounds memory at some hundred times as many bytes.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Words a task remembers, once over: the older half goes. Longer ones aren't remembered.
-WORDS, WORD_CHARS = 500_000, 48
+WORDS, WORD_CHARS = 100_000, 48
 
 NONE = np.int32(2**31 - 1)
 # Kinds of pieces in the model's file.
@@ -45,8 +45,9 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class PieceModel:
-    """A byte-pair model with byte fallback, an identity normaliser and a space put in front.
+class Pieces:
+    """The pieces of a byte-pair model with byte fallback, an identity normaliser and a space put
+    in front, as decoding needs them.
 
     Other models are refused, as their results would differ.
     """
@@ -73,9 +74,10 @@ class PieceModel:
         self.end = trained.eos_id
         spelt = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self._decoding(model, kinds, trained.unk_surface)
-        self._merging(spelt, {s: model.pieces[i].score for s, i in spelt.items()})
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self._prepare(spelt, {s: model.pieces[i].score for s, i in spelt.items()})
+
+    def _prepare(self, spelt: dict[str, int], scores: dict[str, float]) -> None:
+        """Decoding needs no more."""
 
     def _decoding(self, model, kinds, unknown: str) -> None:
         self.bytes_of: list[bytes] = []
@@ -93,6 +95,39 @@ class PieceModel:
         self.starts_spaced = np.array([p.type == NORMAL and p.piece.startswith(SPACE) for p in model.pieces])
         self.is_control = np.array([k == CONTROL for k in kinds])
 
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids; bytes that are no UTF-8 become U+FFFD one by one."""
+        if not len(ids):
+            return ""
+        shown = np.flatnonzero(~self.is_control[ids])
+        spaced = int(len(shown) > 0 and self.starts_spaced[ids[shown[0]]])
+        if len(shown) < len(ids) - 1 or self.is_control[ids[:-1]].any():
+            return self._decode_runs(ids, spaced)
+        raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        try:
+            return raw[spaced:].decode()
+        except UnicodeDecodeError:
+            return self._decode_runs(ids, spaced)
+
+    def _decode_runs(self, ids: np.ndarray, spaced: int) -> str:
+        """Runs of byte pieces by themselves: a character of valid bytes, or one byte that isn't, at a time."""
+        kinds = self.is_byte[ids]
+        out = []
+        for run in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(kinds)) + 1):
+            raw = b"".join(map(self.bytes_of.__getitem__, ids[run].tolist()))
+            out.append("".join(_character(m[0]) for m in CHARACTER.finditer(raw)) if kinds[run[0]] else raw.decode())
+        return "".join(out)[spaced:]
+
+
+class PieceModel(Pieces):
+    """The same with what encoding needs: which symbols merge, and the words met so far."""
+
+    def _prepare(self, spelt: dict[str, int], scores: dict[str, float]) -> None:
+        self._merging(spelt, scores)
+        self.keeps = WORDS
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
     def _merging(self, spelt: dict[str, int], scores: dict[str, float]) -> None:
         # A symbol is a piece, or a character that stands in pieces without being one; other
         # characters have the numbers from `unspelt` on.
@@ -187,7 +222,10 @@ class PieceModel:
             moved = np.cumsum(stays) - 1
             symbol, at, segment, rank, to = (x[stays] for x in (symbol, at, segment, rank, to))
             changed = moved[sites]
-            look_up(np.unique(np.concatenate([changed, changed[changed > 0] - 1])))
+            again = np.zeros(len(symbol), bool)
+            again[changed] = True
+            again[changed[changed > 0] - 1] = True
+            look_up(np.flatnonzero(again))
 
     def _one_by_one(self, final: np.ndarray, symbol: np.ndarray, at: np.ndarray, segment: np.ndarray) -> None:
         """Merge the smallest rank's leftmost pair until none is left, within each segment."""
@@ -258,7 +296,7 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit numbers, without an end id; an empty text has none."""
-        if len(self.known) > WORDS:
+        if len(self.known) > self.keeps:
             self.older, self.known = self.known, {}
         parts = [self.words.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         new = set().union(*parts).difference(self.known)
@@ -268,29 +306,6 @@ class PieceModel:
         look = learnt | self.known if any(len(w) > WORD_CHARS for w in learnt) else self.known
         return [b"".join(map(look.__getitem__, p)) for p in parts]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; bytes that are no UTF-8 become U+FFFD one by one."""
-        if not len(ids):
-            return ""
-        shown = np.flatnonzero(~self.is_control[ids])
-        spaced = int(len(shown) > 0 and self.starts_spaced[ids[shown[0]]])
-        if len(shown) < len(ids) - 1 or self.is_control[ids[:-1]].any():
-            return self._decode_runs(ids, spaced)
-        raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-        try:
-            return raw[spaced:].decode()
-        except UnicodeDecodeError:
-            return self._decode_runs(ids, spaced)
-
-    def _decode_runs(self, ids: np.ndarray, spaced: int) -> str:
-        """Runs of byte pieces by themselves: a character of valid bytes, or one byte that isn't, at a time."""
-        kinds = self.is_byte[ids]
-        out = []
-        for run in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(kinds)) + 1):
-            raw = b"".join(map(self.bytes_of.__getitem__, ids[run].tolist()))
-            out.append("".join(_character(m[0]) for m in CHARACTER.finditer(raw)) if kinds[run[0]] else raw.decode())
-        return "".join(out)[spaced:]
-
 
 #: What may be a character in UTF-8, or else a single byte.
 CHARACTER = re.compile(rb"(?s)[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}|.")
@@ -303,11 +318,11 @@ def _character(raw: bytes) -> str:
         return "\ufffd" * len(raw)
 
 
-def loaded(path: str) -> PieceModel:
+def loaded(path: str, kind: type[Pieces] = PieceModel) -> Pieces:
     """The model at this path, read once by a Python worker."""
-    models = process_cache("piece models")
+    models = process_cache(kind.__name__)
     if path not in models:
-        models[path] = PieceModel(path)
+        models[path] = kind(path)
     return models[path]
 
 
@@ -367,7 +382,7 @@ def decode(rows: DataFrame, ids: str = "ids", model: str | None = None, text: st
     def run(batches):
         import pyarrow as pa
 
-        pieces = loaded(path)
+        pieces = loaded(path, Pieces)
         for batch in batches:
             column = batch.column(ids)
             texts = [pieces.decode(a.values.to_numpy()) if a.is_valid else None for a in column]

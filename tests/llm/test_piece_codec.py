@@ -54,7 +54,7 @@ def test_decoding_any_ids(model, library):
 
 
 def test_remembered_words_go(model, library, monkeypatch):
-    monkeypatch.setattr(piece_codec, "WORDS", 20)
+    monkeypatch.setattr(model, "keeps", 20)
     rng = random.Random(4)
     for _ in range(30):
         texts = [" ".join(rng.choices("ab cde fg hij k lmn".split(), k=9)) + str(rng.random()) for _ in range(5)]
