@@ -99,7 +99,11 @@ def format_conversations(
 
 
 def read_back(formatted: Column) -> Column:
-    """The turns {role, text} of a formatted conversation, as they came in."""
+    """The turns {role, text} of a formatted conversation, as they came in.
+
+    Nulls come back as the empty texts they were formatted as; a null conversation is null, an
+    empty one has no turns.
+    """
     blocks = F.filter(F.split(formatted, r"<\|end\|>", -1), lambda b: b != "")
     return F.flatten(
         F.transform(
