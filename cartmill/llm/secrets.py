@@ -73,6 +73,7 @@ def _spans(text: str, pattern: str, kind: str, value: int = 0) -> str:
 def battery(tokens: DataFrame) -> DataFrame:
     """`tokens` (token) with chi_z, runs_z, serial_z and log_p, the bound on ln P under text.
 
+    Tokens are matches of CANDIDATE; for null, empty or one-character tokens the results are null.
     Tests take the time of a token's length times its alphabet's size, at most 66.
     """
     body = F.regexp_replace("token", "=+$", "")
@@ -126,13 +127,19 @@ def battery(tokens: DataFrame) -> DataFrame:
 
 
 def discoveries(tokens: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
-    """The distinct tokens that pass the tests and the false-discovery bound of their length class."""
-    scored = battery(tokens.distinct()).select(
+    """The distinct tokens that pass the tests and the false-discovery bound of their length class.
+
+    Null tokens are passed over; an empty frame has none. The distinct strings and their scores
+    are written, so that each string is tested once, whatever is asked of the scores.
+    """
+    strings = keep(tokens.where("token IS NOT NULL").distinct(), "strings")
+    scored = battery(strings).select(
         "token",
         F.greatest(*[F.when(F.col("n") >= x, F.lit(x)) for x in LENGTHS]).alias("class"),
         F.least((-F.col("log_p") * STEPS).cast("int"), F.lit(MOST)).alias("step"),
         ((F.abs("chi_z") < REJECT_Z) & (F.abs("runs_z") < REJECT_Z) & (F.abs("serial_z") < REJECT_Z)).alias("random"),
     )
+    scored = keep(scored, "scored")
     # A histogram of at most LENGTHS x MOST cells; random ones alone are discoveries.
     cells = scored.where("class IS NOT NULL").groupBy("class", "step").agg(
         F.count("*").alias("all"), F.count_if("random").alias("found")
