@@ -6,10 +6,11 @@ import sys
 import types
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: A table is only broadcast while its rows, each of a bounded width, stay under this.
 BROADCAST_BYTES = 64 << 20
 
@@ -28,24 +29,34 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def keep(frame: DataFrame, name: str) -> DataFrame:
+def keep(frame: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write the rows once and read them back: a lost executor repeats nothing before this.
 
-    The shuffle files of the write go when it is done, as nothing reads them any more.
+    The shuffle files of the write go when it is done, as nothing reads them any more. `batch`
+    is how many rows Python functions get at once, where these are wide.
     """
     spark = frame.sparkSession
     path = shared_folder(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true", **({BATCH: str(batch)} if batch else {})}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         frame.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     kept = spark.read.schema(frame.schema).parquet(path)
     kept.written_to = path
     return kept
 
 
+def keep_observed(frame: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, Row]:
+    """keep, and what the measures (aggregates with names) come to over the rows, taken while writing."""
+    seen = Observation(name)
+    return keep(frame.observe(seen, *measures), name), Row(**seen.get)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables made by keep, once all that was made from them has been written itself."""
     for frame in frames:
