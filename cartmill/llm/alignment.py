@@ -27,7 +27,7 @@ from cartmill.llm.store import process_cache, without
 #: Characters of text aligned together: bounds memory at some three hundred times as many bytes.
 CHUNK = 1 << 19
 #: Words a task remembers, once over: the older half goes. Longer ones aren't remembered.
-WORDS, WORD_CHARS = 500_000, 48
+WORDS, WORD_CHARS = 250_000, 48
 
 _UNEVEN = re.compile(r"\s\s|\s\Z")
 _WORD = re.compile(r"[ \n][^ \n]+")
@@ -78,6 +78,9 @@ class ByteLevelIds:
         for token, number in self.tokenizer.get_vocab().items():
             if number not in special:
                 self.bytes_of[number] = bytes(letters[c] for c in token)
+        self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
+        #: With a token for every byte, tokens spell any text.
+        self.spells_all = {bytes([b]) for b in range(256)} <= set(self.bytes_of)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.unspelt: set[str] = set()
@@ -98,23 +101,39 @@ class ByteLevelIds:
         parts = [self._parts(t) for t in texts]
         new = set().union(*parts).difference(self.known)
         learnt = {w: self.older[w] for w in new & self.older.keys()}
-        ask = sorted(new - learnt.keys())
-        for word, found in zip(ask, self.tokenizer.encode_batch(ask, add_special_tokens=False)):
-            learnt[word] = np.array(found.ids, "<i4").tobytes()
-            if b"".join(map(self.bytes_of.__getitem__, found.ids)) != word.encode():
-                self.unspelt.add(word)
+        learnt |= self._learn(sorted(new - learnt.keys()))
         self.known |= {w: ids for w, ids in learnt.items() if len(w) <= WORD_CHARS}
         look = learnt | self.known if any(len(w) > WORD_CHARS for w in learnt) else self.known
         odd = self.unspelt
         return [None if odd and not odd.isdisjoint(p) else b"".join(map(look.__getitem__, p)) for p in parts]
 
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words."""
+        learnt = {}
+        if self.in_words and self.spells_all:
+            # Words that begin and end as they would in a text are looked up as one text, and the
+            # ids dealt out by the bytes they spell.
+            regular = [w for w in words if len(w) > 1 and w[0] in " \n" and not w[1].isspace() and not w[-1].isspace()]
+            ids = np.array(self.tokenizer.encode("".join(regular), add_special_tokens=False).ids, "<i4")
+            ends = np.cumsum([len(w.encode()) for w in regular])
+            stops = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 4).tolist()
+            raw = ids.tobytes()
+            learnt = {w: raw[a:b] for w, a, b in zip(regular, [0, *stops], stops)}
+            words = [w for w in words if w not in learnt]
+        for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
+            learnt[word] = np.array(found.ids, "<i4").tobytes()
+            if not self.spells_all and b"".join(map(self.bytes_of.__getitem__, found.ids)) != word.encode():
+                self.unspelt.add(word)
+        return learnt
+
 
 class Sides:
     """Both vocabularies, and the numbered pairs of ids that can end together."""
 
     def __init__(self, vocabulary: str, model: str):
         self.a, self.b = ByteLevelIds(vocabulary), loaded(model)
-        self.lengths = [np.array([len(x) for x in side.bytes_of], np.int64) for side in (self.a, self.b)]
+        self.b.keeps = WORDS
+        self.lengths = [self.a.lengths, np.array([len(x) for x in self.b.bytes_of], np.int64)]
         by_bytes: list[dict[bytes, list[int]]] = []
         for side in (self.a, self.b):
             ids: dict[bytes, list[int]] = {}
@@ -168,7 +187,7 @@ class Sides:
         a, b = a[linked][order], b[linked][order]
         links = np.searchsorted(self.pairs, flat[0][a] * self.width + flat[1][b]).astype("<i4")
         n_links = np.bincount(doc[linked], minlength=len(texts))
-        spelt = self._spell(flat, ends, a, b)
+        spelt = self._spell(flat, a, b)
         upto = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).tolist()
         last = np.concatenate([[0], np.cumsum(n_links)])
         look = self.spelt.__getitem__
@@ -176,15 +195,15 @@ class Sides:
             groups = "".join(map(look, spelt[upto[k] : upto[k + 1]].tolist()))[:-1]
             yield len(ids[0][k]), len(ids[1][k]), int(overlaps[k]), groups, links[last[k] : last[k + 1]].tobytes()
 
-    def _spell(self, flat, ends, a, b) -> np.ndarray:
+    def _spell(self, flat, a, b) -> np.ndarray:
         """Places in `spelt` of all tokens, group by group, A's before B's."""
         many_a = len(self.a.bytes_of)
-        cuts = ends[0][a]
-        group_a, group_b = np.searchsorted(cuts, ends[0]), np.searchsorted(cuts, ends[1])
-        first_b = np.concatenate([[0], b + 1])
-        out = np.empty(len(flat[0]) + len(flat[1]), np.int64)
         last_a, last_b = np.zeros(len(flat[0]), bool), np.zeros(len(flat[1]), bool)
         last_a[a], last_b[b] = True, True
+        # A token's group is the number of links that end before it does.
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        first_b = np.concatenate([[0], b + 1])
+        out = np.empty(len(flat[0]) + len(flat[1]), np.int64)
         out[np.arange(len(flat[0])) + first_b[group_a]] = flat[0] + many_a * last_a
         out[np.arange(len(flat[1])) + (a + 1)[group_b]] = flat[1] + 2 * many_a + self.width * last_b
         return out
