@@ -179,11 +179,11 @@ def product_elements(spark: SparkSession, folder: str, faulty: bool = False) ->
 def cart_elements(
     spark: SparkSession, folder: str, faulty: bool = False, items_per_cart: int = ITEMS_PER_CART
 ) -> DataFrame:
-    """Carts with their items nested.
+    """Carts with their items nested: one per order, with or without items.
 
-    Items are range-partitioned by order and row, sorted, and cut into runs before they
-    are collected, so no cart holds more than items_per_cart of them however many lines
-    an order has; a longer order comes as several carts with one id, and no line is lost.
+    Only an order of more than items_per_cart lines comes as several carts with one id, none of
+    them longer, and no line is lost: its lines are dealt to carts by range and row, so that one
+    order never is one task's or one row's. Whether there are such orders is counted first.
     """
     orders = table(spark, folder, "orders")
 
@@ -210,33 +210,33 @@ def cart_elements(
         )
 
     row = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    placed = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", row.alias("row"))
     item = F.concat(F.lit('{"productId":'), product, _member("quantity", quantity), F.lit("}"))
-    runs = (
-        placed.repartitionByRange("l_orderkey", "row")
-        .sortWithinPartitions("l_orderkey", "row")
-        .select(
-            "l_orderkey",
-            item.alias("item"),
-            F.expr(f"monotonically_increasing_id() div {items_per_cart}").alias("run"),
-        )
-    )
-    carts = runs.groupBy("l_orderkey", "run").agg(
-        F.concat_ws(",", F.collect_list("item")).alias("items")
-    )
+    lines = table(spark, folder, "lineitem").select("l_orderkey", row.alias("row"), item.alias("item"))
+
+    def nested(lines: DataFrame, *keys: str) -> DataFrame:
+        items = F.sort_array(F.collect_list(F.struct("row", "item")))
+        return lines.groupBy("l_orderkey", *keys).agg(items.alias("items"))
+
     def element(*members: Column) -> list[Column]:
         head = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"))
         body = F.concat(head, _member("userId", user), _member("date", date), *members, F.lit("}"))
         return [*_place("carts", F.col("o_orderkey")), body.alias("body")]
 
-    # An inner join, whose hot orders Spark can split on either side; orders without lines
-    # are added apart.
-    items = F.concat(F.lit("["), F.col("items"), F.lit("]"))
+    texts = F.array_join(F.transform("items", lambda x: x["item"]), ",")
+    products = F.when(F.col("items").isNotNull(), F.concat(F.lit("["), texts, F.lit("]")))
     same = F.col("o_orderkey") == F.col("l_orderkey")
-    filled = carts.join(orders, same).select(*element(_member("products", items)))
-    ordered = table(spark, folder, "lineitem").select("l_orderkey").distinct()
-    empty = orders.join(ordered, same, "left_anti").select(*element())
-    return filled.unionAll(empty)
+    counted = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("lines"))
+    long = counted.where(F.col("lines") > items_per_cart).select("l_orderkey")
+    if long.isEmpty():
+        return orders.join(nested(lines), same, "left").select(*element(_member("products", products)))
+    rest = orders.join(long, same, "left_anti").join(nested(lines.join(long, "l_orderkey", "left_anti")), same, "left")
+    # An inner join, whose hot orders Spark can split on either side.
+    ranged = lines.join(long, "l_orderkey", "left_semi").repartitionByRange("l_orderkey", "row")
+    runs = ranged.sortWithinPartitions("l_orderkey", "row").withColumn(
+        "run", F.expr(f"monotonically_increasing_id() div {items_per_cart}")
+    )
+    cut = orders.join(nested(runs, "run"), same)
+    return rest.select(*element(_member("products", products))).unionAll(cut.select(*element(_member("products", products))))
 
 
 def user_elements(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:

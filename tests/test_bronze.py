@@ -2,6 +2,8 @@ import json
 from datetime import date
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from cartmill.operators import dims, facts
 from cartmill.sources import bronze, tables
 
@@ -189,3 +191,24 @@ def test_a_hot_order_is_cut_into_bounded_carts(spark, tmp_path):
     lines = bronze.cart_lines(bronze.carts(carts))
     assert lines.count() == 9000
     assert lines.where("order_id = 7").count() == 6000 + 60
+
+
+def test_only_long_orders_are_cut_into_several_carts(spark, tmp_path):
+    """Runs of items may not begin a new cart within an order that fits into one."""
+    spark.sql(
+        "SELECT cast(id as bigint) o_orderkey, 1L o_custkey, 'O' o_orderstatus, 1.0D o_totalprice, "
+        "timestamp_ntz'1996-01-01' o_orderdate, 'x' o_orderpriority FROM range(300)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        "SELECT id % 299 l_orderkey, id l_partkey, 1L l_suppkey, 1 l_linenumber, "
+        "2.0D l_quantity, 1.0D l_extendedprice, 0.0D l_discount, 0.0D l_tax, 'A' l_returnflag, "
+        "'F' l_linestatus, timestamp_ntz'1996-01-02' l_shipdate FROM range(2093) "
+        "UNION ALL SELECT 5L, id, 1L, 1, 2.0D, 1.0D, 0.0D, 0.0D, 'A', 'F', timestamp_ntz'1996-01-02' FROM range(40)"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for most in (10, 100):
+        carts = tables.cart_elements(spark, str(tmp_path), items_per_cart=most)
+        found = {r["pos"]: r["carts"] for r in carts.groupBy("pos").agg(F.count("*").alias("carts")).collect()}
+        assert set(found) == set(range(300)) and {k for k, n in found.items() if n > 1} == ({5} if most == 10 else set())
+        sizes = carts.selectExpr("size(from_json(body, 'products array<string>').products) AS n")
+        assert sizes.agg({"n": "max"}).first()[0] <= most
+        assert bronze.cart_lines(bronze.carts(carts)).count() == 2133
