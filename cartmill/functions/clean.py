@@ -68,8 +68,9 @@ def day(text: Column) -> Column:
     text = F.btrim(text, F.lit(WHITESPACE))
     iso = F.when(F.try_to_timestamp(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
     bare = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), TIME, "")
+    # Every format has digits; a text without any is spared thirteen attempts, which are slow to fail.
     others = [F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in OTHER_DAY_FORMATS]
-    return F.coalesce(iso, *others)
+    return F.coalesce(iso, F.when(text.rlike("[0-9]"), F.coalesce(*others)))
 
 
 def date_key(date: Column) -> Column:

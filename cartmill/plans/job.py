@@ -75,6 +75,8 @@ def star(feed: Mapping[str, DataFrame]) -> Frames:
 DOCUMENT, LINES = "document", "lines"
 #: Sources whose document is one object.
 OBJECTS = ("fx_rates",)
+#: Sources whose rows take far longer to parse than to move, and whose files are few.
+SPREAD = ("products", "users")
 
 
 def land_incoming(
@@ -112,13 +114,20 @@ def land_incoming(
     return landed
 
 
+def spread(elements: DataFrame) -> DataFrame:
+    """Elements dealt to all cores."""
+    return elements.repartition(elements.sparkSession.sparkContext.defaultParallelism)
+
+
 def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, tuple[str, int]]:
     """Build every silver table from bronze; returns {table: (path, rows)}.
 
     The carts are parsed once, into a table of their own that the days and the fact are
-    read from; the fact is priced from the product table just written.
+    read from; the fact is priced from the product table just written. Products and users
+    are small files, which one task would parse, so they are dealt to all cores before.
     """
     elements = {source: bronze.scan(spark, lake, source, run_date) for source in SOURCES}
+    elements |= {source: spread(elements[source]) for source in SPREAD}
     carts = bronze.carts(elements["carts"])
     written = {"carts": silver.write(carts, lake, "carts", run_date)}
     carts = silver.read(spark, lake, "carts", run_date)

@@ -9,6 +9,7 @@ snapshot compressed and splittable, which one long document or gzip lines are no
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,45 +110,74 @@ def _text(path: str) -> Column:
     return F.when(_missing(path), F.lit("")).otherwise(_get(path))
 
 
-def _whole(path: str, kind: str = "bigint", v: str = "v") -> Column:
+def _whole(text: str, kind: str = "bigint") -> Column:
     """A whole number; null for anything else, as 1.9, "x" or true. 2.0 and "2" are whole."""
-    exact = _get(path, "string", v).try_cast("decimal(38,18)")
-    return F.when(exact == F.floor(exact), exact).try_cast(kind)
+    # Plain digits, which nearly all are, need no decimal.
+    exact = F.col(text).try_cast("decimal(38,18)")
+    other = F.when(exact == F.floor(exact), exact).try_cast("bigint")
+    return F.when(F.col(text).rlike("^-?[0-9]{1,18}$"), F.col(text).try_cast("bigint")).otherwise(other).try_cast(kind)
 
 
-def _fault(name: str, what: str, text: Column, value: Column) -> Column:
+def _fault(name: str, what: str, text: str, value: str | Column) -> Column:
     """`name: not what` where something is given that isn't it."""
-    return F.when(text.isNotNull() & value.isNull(), F.lit(f"{name}: not {what}"))
+    value = F.col(value) if isinstance(value, str) else value
+    return F.when(F.col(text).isNotNull() & value.isNull(), F.lit(f"{name}: not {what}"))
 
 
 def _faults(*faults: Column) -> Column:
     return F.array_compact(F.array(*faults)).alias("_faults")
 
 
+def _any_faults(*whole: tuple[str, str]) -> Column:
+    """Faults of whole numbers, given as (name, column of the text); null where there are none,
+    which nearly always is so and costs no array."""
+    wrong = [F.col(text).isNotNull() & F.col(name).isNull() for name, text in whole]
+    found = F.array(*[_fault(name, "a whole number", text, name) for name, text in whole])
+    return F.when(reduce(Column.__or__, wrong), F.array_compact(found))
+
+
+# Records are read in steps, each a projection of its own: the members' texts, the values made
+# of them, what is wrong with those. A step's columns are used more than once, so Spark keeps
+# the steps apart and computes each column once a row; written as one projection it would read
+# a member again for every place that asks for it.
+
+
 def products(elements: DataFrame) -> DataFrame:
     """A rating that is not an object gives null rate and count."""
-    return _parsed(elements).select(
+    texts = _parsed(elements).select(
         *FEED_ORDER,
-        _whole("$.id").alias("id"),
+        "body",
+        _get("$.id").alias("id_text"),
         _get("$.title").alias("title"),
         _get("$.category").alias("category"),
         _get("$.price").alias("price"),
         _get("$.rating.rate").alias("rating_rate"),
         _get("$.rating.count").alias("rating_count"),
+    )
+    values = texts.withColumns({"id": _whole("id_text"), "whole_count": _whole("rating_count")})
+    return values.select(
+        *FEED_ORDER,
+        "id",
+        "title",
+        "category",
+        "price",
+        "rating_rate",
+        "rating_count",
         _faults(
-            _fault("product_id", "a whole number", _get("$.id"), _whole("$.id")),
-            _fault("price_usd", "a number", _get("$.price"), clean.number(_get("$.price"))),
-            _fault("rating_rate", "a number", _get("$.rating.rate"), clean.number(_get("$.rating.rate"))),
-            _fault("rating_count", "a whole number", _get("$.rating.count"), _whole("$.rating.count")),
+            _fault("product_id", "a whole number", "id_text", "id"),
+            _fault("price_usd", "a number", "price", clean.number(F.col("price"))),
+            _fault("rating_rate", "a number", "rating_rate", clean.number(F.col("rating_rate"))),
+            _fault("rating_count", "a whole number", "rating_count", "whole_count"),
         ),
         F.col("body").alias("_raw"),
     )
 
 
 def users(elements: DataFrame) -> DataFrame:
-    return _parsed(elements).select(
+    texts = _parsed(elements).select(
         *FEED_ORDER,
-        _whole("$.id").alias("id"),
+        "body",
+        _get("$.id").alias("id_text"),
         _text("$.name.firstname").alias("first_name"),
         _text("$.name.lastname").alias("last_name"),
         _text("$.email").alias("email"),
@@ -156,10 +186,22 @@ def users(elements: DataFrame) -> DataFrame:
         _get("$.address.geolocation.lat").alias("lat"),
         _get("$.address.geolocation.long").alias("lon"),
         _get("$.address.country").alias("country_code"),
+    )
+    return texts.withColumn("id", _whole("id_text")).select(
+        *FEED_ORDER,
+        "id",
+        "first_name",
+        "last_name",
+        "email",
+        "city",
+        "zipcode",
+        "lat",
+        "lon",
+        "country_code",
         _faults(
-            _fault("customer_id", "a whole number", _get("$.id"), _whole("$.id")),
-            _fault("lat", "a number", _get("$.address.geolocation.lat"), clean.position(_get("$.address.geolocation.lat"))),
-            _fault("lon", "a number", _get("$.address.geolocation.long"), clean.position(_get("$.address.geolocation.long"))),
+            _fault("customer_id", "a whole number", "id_text", "id"),
+            _fault("lat", "a number", "lat", clean.position(F.col("lat"))),
+            _fault("lon", "a number", "lon", clean.position(F.col("lon"))),
         ),
         F.col("body").alias("_raw"),
     )
@@ -172,61 +214,74 @@ def carts(elements: DataFrame) -> DataFrame:
     Days and order lines both come from this, so that the largest source is parsed once.
     Cart fields are read before the items are unfolded, so their cost is per cart; items
     of undated carts are emptied, not filtered, or Spark would parse each cart again for
-    the filter. An absent quantity is 1, a null one stays null. A cart that is not JSON, or
-    has no readable date, keeps its text in `unreadable` and says why in `reason`; a line
-    with a fault keeps its cart's place in the feed, its item and what is wrong.
+    the filter. A cart that is not JSON, or has no readable date, keeps its text in
+    `unreadable` and says why in `reason`; a line with a fault keeps its cart's place in the
+    feed, its item and what is wrong.
     """
-    order, customer = _get("$.id"), _get("$.userId")
-    heads = _parsed(elements).select(
+    texts = _parsed(elements).select(
         *FEED_ORDER,
-        _whole("$.id").alias("order_id"),
-        _whole("$.userId").alias("customer_id"),
-        clean.day(_get("$.date")).alias("day"),
-        _get("$.products", "array<variant>").alias("items"),
-        F.when(F.col("v").isNull(), F.lit("not JSON"))
-        .when(F.coalesce(F.btrim(_get("$.date")), F.lit("")) == "", F.lit("date: missing"))
-        .otherwise(F.lit("date: not a date"))
-        .alias("reason"),
-        _faults(
-            _fault("order_id", "a whole number", order, _whole("$.id")),
-            _fault("customer_id", "a whole number", customer, _whole("$.userId")),
-        ),
         "body",
+        F.col("v").isNull().alias("no_json"),
+        _get("$.id").alias("order_text"),
+        _get("$.userId").alias("customer_text"),
+        _get("$.date").alias("date_text"),
+        _get("$.products", "array<variant>").alias("items"),
+    )
+    values = texts.withColumns(
+        {
+            "order_id": _whole("order_text"),
+            "customer_id": _whole("customer_text"),
+            "day": clean.day(F.col("date_text")),
+        }
     )
     dated = F.col("day").isNotNull()
-    unfolded = heads.select(
+    reason = (
+        F.when(F.col("no_json"), F.lit("not JSON"))
+        .when(F.coalesce(F.btrim("date_text"), F.lit("")) == "", F.lit("date: missing"))
+        .otherwise(F.lit("date: not a date"))
+    )
+    heads = values.select(
         *FEED_ORDER,
         "order_id",
         "customer_id",
         "day",
-        F.when(~dated, F.col("reason")).alias("reason"),
+        F.when(~dated, reason).alias("reason"),
         F.when(~dated, F.col("body")).alias("unreadable"),
-        "_faults",
-        F.posexplode_outer(F.when(dated, F.col("items"))).alias("nth", "item"),
+        _any_faults(("order_id", "order_text"), ("customer_id", "customer_text")).alias("cart_faults"),
+        F.when(dated, F.col("items")).alias("items"),
     )
-    quantity = F.when(_missing("$.quantity", "item"), F.lit(1)).otherwise(_whole("$.quantity", "int", "item"))
-    faults = F.concat(
-        F.col("_faults"),
-        F.array_compact(
-            F.array(
-                _fault("product_id", "a whole number", _get("$.productId", v="item"), _whole("$.productId", v="item")),
-                _fault("quantity", "a whole number", _get("$.quantity", v="item"), quantity),
-            )
-        ),
+    unfolded = heads.select("*", F.posexplode_outer("items").alias("nth", "item")).drop("items")
+    read = unfolded.withColumns(
+        {
+            "product_text": _get("$.productId", v="item"),
+            "quantity_text": _get("$.quantity", v="item"),
+        }
+    )
+    whole = read.withColumns(
+        {
+            "product_id": _whole("product_text"),
+            "quantity": F.when(F.col("quantity_text").isNotNull(), _whole("quantity_text", "int")).when(
+                _missing("$.quantity", "item"), F.lit(1)
+            ),
+        }
     )
-    return unfolded.select(
+    found = whole.withColumn("item_faults", _any_faults(("product_id", "product_text"), ("quantity", "quantity_text")))
+    faulty = F.coalesce(F.col("cart_faults"), F.col("item_faults")).isNotNull()
+    none = F.array().cast("array<string>")
+    faults = F.concat(F.coalesce("cart_faults", none), F.coalesce("item_faults", none))
+    return found.select(
         *FEED_ORDER,
         "order_id",
         "customer_id",
         "day",
-        _whole("$.productId", v="item").alias("product_id"),
-        quantity.alias("quantity"),
+        "product_id",
+        "quantity",
         F.col("item").isNotNull().alias("has_item"),
         F.coalesce(F.col("nth"), F.lit(0)).alias("nth"),
         "reason",
         "unreadable",
-        F.when(F.size(faults) > 0, faults).alias("_faults"),
-        F.when(F.size(faults) > 0, F.to_json("item")).alias("_raw"),
+        F.when(faulty, faults).alias("_faults"),
+        F.when(faulty, F.to_json("item")).alias("_raw"),
     )
 
 
