@@ -32,14 +32,23 @@ CUT = "doc string, block bigint, pos bigint, kind int, body binary"
 WHOLE, BEGUN, GOES_ON, CLOSED, FAULT = range(5)
 #: A table of ranges up to this many bytes goes to every task.
 BROADCAST_BYTES, RANGE_BYTES = 64 << 20, 512
+#: Ranges smaller than this share a task, up to so many bytes of them.
+TASK_BYTES = 128 << 20
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("lineSep", PIECE_END.decode()).text(path).select(
+    pieces = spark.read.option("lineSep", PIECE_END.decode()).text(path).select(
         F.col("_metadata.file_path").alias("doc"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").cast("binary").alias("value"),
     )
+    splits = pieces.rdd.getNumPartitions()
+    a_range = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    tasks = max(-(-splits * min(a_range, TASK_BYTES) // TASK_BYTES), 3 * spark.sparkContext.defaultParallelism)
+    # Without a shuffle: a task reads its splits one after the other, each still a range.
+    return pieces.coalesce(tasks) if tasks < splits else pieces
 
 
 def quotes_of(codes: np.ndarray) -> np.ndarray:
