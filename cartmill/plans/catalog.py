@@ -552,19 +552,21 @@ def distinct_orders_merged(spark, folder):
     """Orders by day and category as bitmaps, added up to days, weeks and categories."""
     star = _star(spark, folder)
     lines = star["fact_orders"].join(star["dim_product"].select("product_id", "category"), "product_id")
-    each = partials.partial(lines, "date_id", "category").join(
+    each = partials.partial(lines, "date_id", "category")
+    # Weeks are added up from days, of which there are far fewer rows.
+    by_day = partials.merged(each, "date_id").join(
         star["dim_date"].select("date_id", "year", F.weekofyear("full_date").alias("week_num")), "date_id"
     )
     labels = {
-        "day": F.col("date_id").cast("string"),
-        "week": F.format_string("%d-%02d", "year", "week_num"),
-        "category": F.col("category"),
+        "day": (by_day, F.col("date_id").cast("string")),
+        "week": (by_day, F.format_string("%d-%02d", "year", "week_num")),
+        "category": (each, F.col("category")),
     }
     found = [
-        partials.totals(each.withColumn("label", label), "label").select(
+        partials.totals(rows.withColumn("label", label), "label").select(
             F.lit(kind).alias("kind"), "label", "total_orders", "lines", "units_sold", "revenue_usd"
         )
-        for kind, label in labels.items()
+        for kind, (rows, label) in labels.items()
     ]
     return reduce(DataFrame.unionByName, found)
 
