@@ -256,26 +256,29 @@ def user_elements(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
             .when(_every("id", 23), F.lit('"abc"'))
             .otherwise(lat)
         )
-    name = F.concat(F.lit('{"firstname":'), given("first_name"), _member("lastname", last), F.lit("}"))
-    place = F.concat(F.lit('{"long":'), given("lon"), _member("lat", lat), F.lit("}"))
+    # In steps, as a member's text is asked for twice: whether it is null, and for itself.
+    members = _customers(spark, folder).withColumns({"last": last, "email_text": email, "lat_text": lat})
+    name = F.concat(F.lit('{"firstname":'), given("first_name"), _member("lastname", F.col("last")), F.lit("}"))
+    place = F.concat(F.lit('{"long":'), given("lon"), _member("lat", F.col("lat_text")), F.lit("}"))
     address = F.concat(
         F.lit('{"city":'),
         given("city"),
         _member("zipcode", given("zipcode")),
         _member("country", given("country_code")),
-        _member("geolocation", place),
+        _member("geolocation", F.col("place")),
         F.lit("}"),
     )
     if faulty:
         address = F.when(_every("id", 5), F.lit(None)).when(_every("id", 29), F.lit("null")).otherwise(address)
-    return _customers(spark, folder).select(
+    nested = members.withColumns({"name": name, "place": place}).withColumn("address", address)
+    return nested.select(
         *FEED_ORDER,
         F.concat(
             F.lit('{"id":'),
             F.col("id").cast("string"),
-            _member("email", email),
-            _member("name", name),
-            _member("address", address),
+            _member("email", F.col("email_text")),
+            _member("name", F.col("name")),
+            _member("address", F.col("address")),
             F.lit("}"),
         ).alias("body"),
     )
