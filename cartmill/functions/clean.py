@@ -66,11 +66,29 @@ def day(text: Column) -> Column:
     instant is the day before in UTC. Null for whatever is not a whole, valid date.
     """
     text = F.btrim(text, F.lit(WHITESPACE))
-    iso = F.when(F.try_to_timestamp(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
-    bare = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), TIME, "")
     # Every format has digits; a text without any is spared thirteen attempts, which are slow to fail.
-    others = [F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in OTHER_DAY_FORMATS]
-    return F.coalesce(iso, F.when(text.rlike("[0-9]"), F.coalesce(*others)))
+    return F.coalesce(iso_day(text), F.when(text.rlike("[0-9]"), _other_day(text)))
+
+
+def iso_day(text: Column) -> Column:
+    """The calendar day of a trimmed ISO 8601 text, as written; null for other ways to write it."""
+    return F.when(F.try_to_timestamp(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
+
+
+def _other_day(text: Column) -> Column:
+    """The day in the first of the other formats that fits.
+
+    They are tried within lambdas, which Spark evaluates as they are: written out, thirteen formats
+    make the generated method of the whole stage larger than the JVM compiles (8,000 bytes).
+    """
+
+    def bare(text: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), TIME, "")
+
+    def first(text: Column) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in OTHER_DAY_FORMATS])
+
+    return F.get(F.transform(F.transform(F.array(text), bare), first), F.lit(0))
 
 
 def date_key(date: Column) -> Column:

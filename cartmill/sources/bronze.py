@@ -207,6 +207,19 @@ def users(elements: DataFrame) -> DataFrame:
     )
 
 
+PLAIN_ITEMS = "array<struct<productId: bigint, quantity: int>>"
+#: A cart whose numbers are all JSON whole numbers; `_unfit` has the text of one that isn't.
+PLAIN_CART = f"id bigint, userId bigint, date string, products {PLAIN_ITEMS}, _unfit string"
+#: JSON and nothing more lenient, as a VARIANT is read.
+STRICT = {
+    "columnNameOfCorruptRecord": "_unfit",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+#: How a date begins that can be no number or object, whose text a VARIANT may spell otherwise.
+ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T"
+
+
 def carts(elements: DataFrame) -> DataFrame:
     """One row per cart item; a cart without items, or without a readable date, is one
     row with has_item false.
@@ -214,24 +227,46 @@ def carts(elements: DataFrame) -> DataFrame:
     Days and order lines both come from this, so that the largest source is parsed once.
     Cart fields are read before the items are unfolded, so their cost is per cart; items
     of undated carts are emptied, not filtered, or Spark would parse each cart again for
-    the filter. A cart that is not JSON, or has no readable date, keeps its text in
+    the filter. Plain carts are read straight into their types: an ISO date, numbers that are
+    whole or absent, a quantity with every item. All others are read as VARIANT, which tells
+    an absent member from a null one and gives the text of any value. A cart that is not JSON, or has no readable date, keeps its text in
     `unreadable` and says why in `reason`; a line with a fault keeps its cart's place in the
     feed, its item and what is wrong.
     """
-    texts = _parsed(elements).select(
+    typed = elements.select(*FEED_ORDER, "body", F.from_json("body", PLAIN_CART, STRICT).alias("cart"))
+    iso = typed.withColumn("iso_day", F.when(F.col("cart.date").rlike(ISO_DATE), clean.iso_day(F.col("cart.date"))))
+    given = F.col("cart._unfit").isNull() & F.col("iso_day").isNotNull()
+    no_gap = ~F.exists(
+        F.coalesce("cart.products", F.array()), lambda item: item.isNull() | item["quantity"].isNull()
+    )
+    plain = iso.withColumn("plain", F.coalesce(given & no_gap, F.lit(False)))
+    parsed = plain.select(
+        *FEED_ORDER,
+        "body",
+        "plain",
+        "iso_day",
+        *[F.when(F.col("plain"), F.col(f"cart.{member}")).alias(member) for member in ("id", "userId", "products")],
+        F.when(~F.col("plain"), F.try_parse_json("body")).alias("v"),
+    )
+    texts = parsed.select(
         *FEED_ORDER,
         "body",
-        F.col("v").isNull().alias("no_json"),
+        "plain",
+        "iso_day",
+        "id",
+        "userId",
+        "products",
+        (~F.col("plain") & F.col("v").isNull()).alias("no_json"),
         _get("$.id").alias("order_text"),
         _get("$.userId").alias("customer_text"),
         _get("$.date").alias("date_text"),
-        _get("$.products", "array<variant>").alias("items"),
+        _get("$.products", "array<variant>").alias("odd_items"),
     )
     values = texts.withColumns(
         {
-            "order_id": _whole("order_text"),
-            "customer_id": _whole("customer_text"),
-            "day": clean.day(F.col("date_text")),
+            "order_id": F.when(F.col("plain"), F.col("id")).otherwise(_whole("order_text")),
+            "customer_id": F.when(F.col("plain"), F.col("userId")).otherwise(_whole("customer_text")),
+            "day": F.when(F.col("plain"), F.col("iso_day")).otherwise(clean.day(F.col("date_text"))),
         }
     )
     dated = F.col("day").isNotNull()
@@ -240,6 +275,11 @@ def carts(elements: DataFrame) -> DataFrame:
         .when(F.coalesce(F.btrim("date_text"), F.lit("")) == "", F.lit("date: missing"))
         .otherwise(F.lit("date: not a date"))
     )
+    # A cart has plain items or others, and the shorter list, here the empty one, is filled up with nulls.
+    items = F.arrays_zip(
+        F.coalesce("products", F.array().cast(PLAIN_ITEMS)).alias("plain"),
+        F.coalesce("odd_items", F.array().cast("array<variant>")).alias("odd"),
+    )
     heads = values.select(
         *FEED_ORDER,
         "order_id",
@@ -248,21 +288,24 @@ def carts(elements: DataFrame) -> DataFrame:
         F.when(~dated, reason).alias("reason"),
         F.when(~dated, F.col("body")).alias("unreadable"),
         _any_faults(("order_id", "order_text"), ("customer_id", "customer_text")).alias("cart_faults"),
-        F.when(dated, F.col("items")).alias("items"),
+        F.when(dated, items).alias("items"),
+    )
+    unfolded = heads.select("*", F.posexplode_outer("items").alias("nth", "either")).select(
+        *[c for c in heads.columns if c != "items"], "nth", F.col("either.plain").alias("plain"), F.col("either.odd").alias("item")
     )
-    unfolded = heads.select("*", F.posexplode_outer("items").alias("nth", "item")).drop("items")
     read = unfolded.withColumns(
         {
             "product_text": _get("$.productId", v="item"),
             "quantity_text": _get("$.quantity", v="item"),
         }
     )
+    is_plain = F.col("plain").isNotNull()
     whole = read.withColumns(
         {
-            "product_id": _whole("product_text"),
-            "quantity": F.when(F.col("quantity_text").isNotNull(), _whole("quantity_text", "int")).when(
-                _missing("$.quantity", "item"), F.lit(1)
-            ),
+            "product_id": F.when(is_plain, F.col("plain.productId")).otherwise(_whole("product_text")),
+            "quantity": F.when(is_plain, F.col("plain.quantity"))
+            .when(F.col("quantity_text").isNotNull(), _whole("quantity_text", "int"))
+            .when(_missing("$.quantity", "item"), F.lit(1)),
         }
     )
     found = whole.withColumn("item_faults", _any_faults(("product_id", "product_text"), ("quantity", "quantity_text")))
@@ -276,7 +319,7 @@ def carts(elements: DataFrame) -> DataFrame:
         "day",
         "product_id",
         "quantity",
-        F.col("item").isNotNull().alias("has_item"),
+        (is_plain | F.col("item").isNotNull()).alias("has_item"),
         F.coalesce(F.col("nth"), F.lit(0)).alias("nth"),
         "reason",
         "unreadable",
