@@ -317,25 +317,26 @@ def tie() -> Column:
     return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
-def clustered(rows: DataFrame, table: Table, tie_column: str) -> DataFrame:
+def clustered(rows: DataFrame, table: Table, tie_column: str, folders: bool = True) -> DataFrame:
     """Range-partitioned by folder and clustering columns, so that file statistics skip.
 
-    The folders' columns go first, so a task writes into few of them however many there are;
-    the tie column goes last: a single hot day and product is cut into several ranges instead
-    of filling one task.
+    The folders' columns go first, so a task writes into few of them however many there are
+    (without `folders` there is one, and they aren't compared); the tie column goes last: a
+    single hot day and product is cut into several ranges instead of filling one task.
     """
-    folders = [c.name for c in table.partition_by]
-    ranged = rows.repartitionByRange(*folders, *table.cluster_by, tie_column)
-    return ranged.sortWithinPartitions(*folders, *table.cluster_by).drop(tie_column)
+    first = [c.name for c in table.partition_by] if folders else []
+    ranged = rows.repartitionByRange(*first, *table.cluster_by, tie_column)
+    return ranged.sortWithinPartitions(*first, *table.cluster_by).drop(tie_column)
 
 
-def _fact_rows(staged: DataFrame, first_key: int, batch: str) -> DataFrame:
-    """Accepted, laid out and keyed fact rows; `staged` has run_date and _tie."""
+def _fact_rows(staged: DataFrame, first_key: int, batch: str, folders: bool = True) -> DataFrame:
+    """Accepted, laid out and keyed fact rows; `staged` has run_date and _tie. Without `folders` all
+    rows are of one run date."""
     table = FACT_ORDERS
     good = accepted(staged.withColumn("batch", F.lit(batch)), table, keep=("run_date", "batch", "_tie"))
     # Keys are given after the shuffle, in the task that writes them: a lost upstream
     # task can be run again without changing where any row goes.
-    return clustered(good, table, "_tie").select(
+    return clustered(good, table, "_tie", folders).select(
         line_key(first_key).alias("order_line_id"),
         *[c.name for c in table.fed_columns],
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
@@ -352,7 +353,7 @@ def write_fact(
     folders the load writes, so repeating it changes nothing else."""
     lease = lease_keys(spark, lake)
     seen = Observation(f"loaded_{batch}")
-    good = _fact_rows(staged, lease.first, batch).observe(
+    good = _fact_rows(staged, lease.first, batch, folders=run_date is None).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max("order_line_id").alias("last")
     )
     folders = [c.name for c in FACT_ORDERS.partition_by]
@@ -479,7 +480,7 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
         # Not from files, so there is no place in a file to break ties by: the row's own values do.
         values = [F.col(f"`{c}`").cast("string") for c in rows.columns]
         staged = rows.withColumns({"run_date": F.lit(run_date), "_tie": F.xxhash64(*values)})
-        good = _fact_rows(staged, lease.first, batch).drop("run_date", "batch")
+        good = _fact_rows(staged, lease.first, batch, folders=False).drop("run_date", "batch")
         path, mode = lake.load_folder(name, run_date, batch), "errorifexists"
         last = F.max("order_line_id")
     else:

@@ -14,7 +14,7 @@ from cartmill.functions import clean
 from cartmill.operators import audit, dims, enrich, facts, load, partials, reports
 from cartmill.plans import job
 from cartmill.schemas import DIM_PRODUCT, FACT_ORDERS, SOURCES
-from cartmill.session import tune, work_folder
+from cartmill.session import at_once, tune, work_folder
 from cartmill.sources import bronze, documents, silver, tables, versions
 from cartmill.sources.lake import Lake
 from cartmill.streaming.append import append_new_files
@@ -41,18 +41,17 @@ def _lake(spark: SparkSession) -> Lake:
     return Lake(work_folder(spark))
 
 
-def _built(spark: SparkSession, elements: dict[str, DataFrame]) -> Lake:
+def _built(spark: SparkSession, elements: dict[str, DataFrame], lake: Lake | None = None) -> Lake:
     """Elements landed as bronze and built into silver for DAY_1, as the daily job does it."""
-    lake = _lake(spark)
-    for source, rows in elements.items():
-        bronze.land(rows, lake, source, DAY_1)
+    lake = lake or _lake(spark)
+    bronze.land_all(elements, lake, DAY_1)
     job.build_silver(spark, lake, DAY_1)
     return lake
 
 
-def _staged(spark: SparkSession, folder: str) -> Lake:
+def _staged(spark: SparkSession, folder: str, lake: Lake | None = None) -> Lake:
     """The faulty JSON feed, built."""
-    return _built(spark, tables.elements(spark, folder, faulty=True))
+    return _built(spark, tables.elements(spark, folder, faulty=True), lake)
 
 
 def _faulty(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -61,8 +60,7 @@ def _faulty(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def _faulty_elements(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     lake = _lake(spark)
-    for source, rows in tables.elements(spark, folder, faulty=True).items():
-        bronze.land(rows, lake, source, DAY_1)
+    bronze.land_all(tables.elements(spark, folder, faulty=True), lake, DAY_1)
     return {source: bronze.scan(spark, lake, source, DAY_1) for source in SOURCES}
 
 
@@ -436,13 +434,21 @@ def refresh_seen_by_readers(spark, folder):
 def _stage_two_days(
     spark: SparkSession, folder: str, lake: Lake, days: tuple[date, ...] = (DAY_1, DAY_2), faulty: DataFrame | None = None
 ) -> None:
-    """Silver facts of two run dates: faulty lines (given, where they are built already), then clean ones."""
-    if DAY_1 in days:
-        silver.write(faulty or _faulty(spark, folder, "fact_orders"), lake, "fact_orders", DAY_1)
-    if DAY_2 in days:
-        product = dims.dim_product(tables.feed(spark, folder)["products"])
-        clean_lines = facts.fact_orders(tables.feed(spark, folder)["cart_lines"], product)
-        silver.write(clean_lines, lake, "fact_orders", DAY_2)
+    """Silver facts of two run dates: faulty lines (given, where they are built already; else built in this
+    very lake), then clean ones."""
+
+    def first() -> None:
+        if faulty is None:
+            _staged(spark, folder, lake)
+        else:
+            silver.write(faulty, lake, "fact_orders", DAY_1)
+
+    def second() -> None:
+        feed = tables.feed(spark, folder)
+        silver.write(facts.fact_orders(feed["cart_lines"], dims.dim_product(feed["products"])), lake, "fact_orders", DAY_2)
+
+    steps = {DAY_1: first, DAY_2: second}
+    at_once(*[steps[day] for day in days if day])
 
 
 def _per_run(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -574,8 +580,10 @@ def distinct_orders_merged(spark, folder):
 def _two_loads(spark: SparkSession, folder: str) -> tuple[Lake, list[list[str]]]:
     """Two loads and the first one again, each followed by a refresh: which folders those read."""
     lake = _lake(spark)
-    _stage_two_days(spark, folder, lake)
-    _star(spark, folder)["dim_date"].write.parquet(lake.gold("dim_date"))
+    at_once(
+        lambda: _stage_two_days(spark, folder, lake),
+        lambda: _star(spark, folder)["dim_date"].write.parquet(lake.gold("dim_date")),
+    )
     refreshed = []
     for run_date in (DAY_1, DAY_2, DAY_1):
         load.load_fact(spark, lake, run_date, "replace_run")

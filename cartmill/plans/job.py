@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cartmill.frames import Frames
 from cartmill.operators import dims, enrich, facts, load, reports
 from cartmill.schemas import SOURCES, TABLES, Table
+from cartmill.session import at_once
 from cartmill.sources import bronze, documents, silver, versions
 from cartmill.sources.lake import Lake
 
@@ -125,27 +126,33 @@ def build_silver(spark: SparkSession, lake: Lake, run_date: date) -> dict[str, t
     The carts are parsed once, into a table of their own that the days and the fact are
     read from; the fact is priced from the product table just written. Products and users
     are small files, which one task would parse, so they are dealt to all cores before.
+    What doesn't need the carts is built while they are parsed.
     """
     elements = {source: bronze.scan(spark, lake, source, run_date) for source in SOURCES}
     elements |= {source: spread(elements[source]) for source in SPREAD}
-    carts = bronze.carts(elements["carts"])
-    written = {"carts": silver.write(carts, lake, "carts", run_date)}
-    carts = silver.read(spark, lake, "carts", run_date)
-    load.keep_rejects(bronze.undated(carts), lake, "carts", run_date)
-    for source in ("products", "users", "countries", "fx_rates"):
-        load.keep_rejects(bronze.broken(elements[source]), lake, source, run_date)
-    feed = (
-        extract(elements)
-        .replaced("cart_days", bronze.cart_days(carts))
-        .replaced("cart_lines", bronze.cart_lines(carts))
+    tables = silver_tables(extract(elements))
+
+    def write(name: str, rows: Callable[[], DataFrame]) -> Callable[[], tuple]:
+        return lambda: (name, silver.write(rows(), lake, name, run_date))
+
+    def table(name: str) -> Callable[[], tuple]:
+        return write(name, lambda: tables[name])
+
+    def reject(source: str, bad: DataFrame) -> Callable[[], tuple]:
+        return lambda: ("rejects", load.keep_rejects(bad, lake, source, run_date))
+
+    written = at_once(
+        write("carts", lambda: bronze.carts(elements["carts"])),
+        *[table(name) for name in ("dim_product", "dim_customer", "dim_currency", "dim_country")],
+        *[reject(source, bronze.broken(elements[source])) for source in ("products", "users", "countries", "fx_rates")],
+    )
+    carts, product = (silver.read(spark, lake, name, run_date) for name in ("carts", "dim_product"))
+    written += at_once(
+        write("fact_orders", lambda: priced(bronze.cart_lines(carts), product)),
+        write("dim_date", lambda: dims.dim_date(bronze.cart_days(carts))),
+        reject("carts", bronze.undated(carts)),
     )
-    tables = silver_tables(feed)
-    for name in ("dim_product", "dim_customer", "dim_date", "dim_currency", "dim_country"):
-        written[name] = silver.write(tables[name], lake, name, run_date)
-    product = silver.read(spark, lake, "dim_product", run_date)
-    fact = priced(feed["cart_lines"], product)
-    written["fact_orders"] = silver.write(fact, lake, "fact_orders", run_date)
-    return written
+    return {name: result for name, result in written if name != "rejects"}
 
 
 def load_countries(spark: SparkSession, lake: Lake, run_date: date) -> None:
@@ -208,8 +215,7 @@ def run(
     if elements is None:
         land_incoming(spark, lake, run_date, formats)
     else:
-        for source in SOURCES:
-            bronze.land(elements[source], lake, source, run_date)
+        bronze.land_all({source: elements[source] for source in SOURCES}, lake, run_date)
     build_silver(spark, lake, run_date)
     results = load.load_all(spark, lake, run_date, fact_mode, **stream)
     load_countries(spark, lake, run_date)

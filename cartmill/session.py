@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on; all can be changed on a running session.
@@ -44,6 +48,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def at_once(*steps: Callable[[], Any]) -> list:
+    """Run steps that don't need each other's results at the same time; returns their results in order.
+
+    Their jobs share the session's cores: small ones run while a large one's last tasks leave some
+    idle. An error is raised when all steps have ended.
+    """
+    inheriting = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(len(steps), 1)) as pool:
+        begun = [pool.submit(inheriting(step)) for step in steps]
+    return [step.result() for step in begun]
+
+
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, or below the warehouse where that is unset:
     both are shared by all executors. It goes when the driver's JVM ends."""

@@ -8,6 +8,7 @@ snapshot compressed and splittable, which one long document or gzip lines are no
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmill.functions import clean
+from cartmill.session import at_once
 from cartmill.sources import documents
 from cartmill.sources.lake import Lake
 
@@ -87,6 +89,11 @@ def land(elements: DataFrame, lake: Lake, source: str, run_date: date) -> str:
     return path
 
 
+def land_all(elements: Mapping[str, DataFrame], lake: Lake, run_date: date) -> None:
+    """Store the elements of several sources, at the same time."""
+    at_once(*[lambda source=source, rows=rows: land(rows, lake, source, run_date) for source, rows in elements.items()])
+
+
 def scan(spark: SparkSession, lake: Lake, source: str, run_date: date) -> DataFrame:
     """One snapshot, by its own folder: no other run date is even listed."""
     return spark.read.schema(SCHEMA).parquet(lake.bronze(source, run_date))

@@ -212,3 +212,20 @@ def test_only_long_orders_are_cut_into_several_carts(spark, tmp_path):
         sizes = carts.selectExpr("size(from_json(body, 'products array<string>').products) AS n")
         assert sizes.agg({"n": "max"}).first()[0] <= most
         assert bronze.cart_lines(bronze.carts(carts)).count() == 2133
+
+
+def test_long_orders_are_found_by_runs_of_neighbours(spark, tmp_path):
+    """A run of 64 keys may have more lines than the limit without any of its orders having so many."""
+    def lines(keys: str) -> str:
+        folder = f"{tmp_path}/{len(list(tmp_path.iterdir()))}"
+        spark.sql(
+            f"SELECT {keys} l_orderkey, id l_partkey, 1L l_suppkey, 1 l_linenumber, 2.0D l_quantity, 1.0D l_extendedprice, "
+            "0.0D l_discount, 0.0D l_tax, 'A' l_returnflag, 'F' l_linestatus, timestamp_ntz'1996-01-02' l_shipdate FROM range(1000)"
+        ).write.parquet(f"{folder}/lineitem.parquet")
+        return folder
+
+    assert tables._long_orders(spark, lines("id"), 64) is None
+    assert tables._long_orders(spark, lines("id % 40"), 25) is None
+    assert tables._long_orders(spark, lines("CAST(NULL AS BIGINT)"), 64) is None
+    found = tables._long_orders(spark, lines("if(id % 2 = 0, -7, id % 40)"), 400)
+    assert [r["l_orderkey"] for r in found.collect()] == [-7]

@@ -49,3 +49,30 @@ def test_only_changed_loads_are_read(spark, lake):
     load.load_fact(spark, lake, DAYS[1], "snapshot")
     partials.refresh(spark, lake)
     assert stored()[1:3] == (2, 2)
+
+
+def test_the_mean_is_exact_over_many_lines(spark):
+    """100.00 over 20,001 lines is 0.00499975…, which six places would round up to half a cent."""
+    lines = spark.range(20_001).select(
+        F.col("id").alias("order_id"), F.lit(1).alias("date_id"), F.lit(1).alias("quantity"),
+        F.when(F.col("id") < 10_000, Decimal("0.01")).otherwise(Decimal("0.00")).cast("decimal(12,2)").alias("total_usd"))
+    found = partials.totals(partials.partial(lines, "date_id"), "date_id").first()
+    assert (found.revenue_usd, found.avg_order_value_usd) == (Decimal("100.00"), Decimal("0.00"))
+
+
+def test_rows_are_added_up_without_sorting(spark):
+    """Rows of 4 kB were sorted to be added up, and there were as many as days times buckets."""
+    lines = spark.range(1).selectExpr("id AS order_id", "1 AS date_id", "1 AS quantity", "1.00BD AS total_usd")
+    each = partials.partial(lines, "date_id")
+    plan = partials.totals(each, "date_id")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan.replace("isSorted", "")
+
+
+def test_folders_in_another_layout_are_made_anew(spark, lake, monkeypatch):
+    stage(spark, lake, "fact_orders", [line(1)], DAYS[0])
+    load.load_fact(spark, lake, DAYS[0], "replace_run")
+    with monkeypatch.context() as older:
+        older.setattr(partials, "LAYOUT", "older")
+        assert partials.refresh(spark, lake) == ["run_date=2024-01-05/batch=run"]
+    assert partials.refresh(spark, lake) == ["run_date=2024-01-05/batch=run"]
+    assert partials.refresh(spark, lake) == []

@@ -103,3 +103,22 @@ def test_items_that_fit_no_type_keep_their_fault(spark):
         (None, ["quantity: not a whole number"], '{"productId":3,"quantity":2.5}'),
         (None, None, None),
     ]
+
+
+def test_independent_steps_run_at_once(spark):
+    """Each waits for the other to have begun; an error comes when both have ended."""
+    import threading
+
+    from cartmill.session import at_once
+
+    met, ended = threading.Barrier(2, timeout=20), []
+
+    def step(n):
+        met.wait()
+        ended.append(n)
+        return n
+
+    assert at_once(lambda: step(1), lambda: step(2)) == [1, 2] and at_once() == []
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1 // 0, lambda: ended.append(3))
+    assert sorted(ended) == [1, 2, 3]
