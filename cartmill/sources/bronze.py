@@ -235,7 +235,8 @@ def carts(elements: DataFrame) -> DataFrame:
     Cart fields are read before the items are unfolded, so their cost is per cart; items
     of undated carts are emptied, not filtered, or Spark would parse each cart again for
     the filter. Plain carts are read straight into their types: an ISO date, numbers that are
-    whole or absent, a quantity with every item. All others are read as VARIANT, which tells
+    whole or absent, and no null (or, where there is one, a quantity with every item): without a
+    null in its text what is null after reading was absent. All others are read as VARIANT, which tells
     an absent member from a null one and gives the text of any value. A cart that is not JSON, or has no readable date, keeps its text in
     `unreadable` and says why in `reason`; a line with a fault keeps its cart's place in the
     feed, its item and what is wrong.
@@ -243,7 +244,7 @@ def carts(elements: DataFrame) -> DataFrame:
     typed = elements.select(*FEED_ORDER, "body", F.from_json("body", PLAIN_CART, STRICT).alias("cart"))
     iso = typed.withColumn("iso_day", F.when(F.col("cart.date").rlike(ISO_DATE), clean.iso_day(F.col("cart.date"))))
     given = F.col("cart._unfit").isNull() & F.col("iso_day").isNotNull()
-    no_gap = ~F.exists(
+    no_gap = ~F.contains("body", F.lit("null")) | ~F.exists(
         F.coalesce("cart.products", F.array()), lambda item: item.isNull() | item["quantity"].isNull()
     )
     plain = iso.withColumn("plain", F.coalesce(given & no_gap, F.lit(False)))
@@ -310,7 +311,7 @@ def carts(elements: DataFrame) -> DataFrame:
     whole = read.withColumns(
         {
             "product_id": F.when(is_plain, F.col("plain.productId")).otherwise(_whole("product_text")),
-            "quantity": F.when(is_plain, F.col("plain.quantity"))
+            "quantity": F.when(is_plain, F.coalesce("plain.quantity", F.lit(1)))
             .when(F.col("quantity_text").isNotNull(), _whole("quantity_text", "int"))
             .when(_missing("$.quantity", "item"), F.lit(1)),
         }

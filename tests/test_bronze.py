@@ -229,3 +229,25 @@ def test_long_orders_are_found_by_runs_of_neighbours(spark, tmp_path):
     assert tables._long_orders(spark, lines("CAST(NULL AS BIGINT)"), 64) is None
     found = tables._long_orders(spark, lines("if(id % 2 = 0, -7, id % 40)"), 400)
     assert [r["l_orderkey"] for r in found.collect()] == [-7]
+
+
+def test_absent_members_of_plain_carts_are_as_in_others(spark):
+    """An absent quantity is 1, a null one is missing, in carts read either way: those with an ISO date straight, the others as VARIANT."""
+    items = '{"productId":1},{"productId":2,"quantity":3},{"productId":4,"quantity":null},{},{"quantity":5},{"productId":null}'
+    texts = [
+        f'{{"id":{n},"date":"{day}","products":[{",".join(some)}]}}'
+        for n, some in enumerate([items.split(",{"), *[[i] for i in items.split(",{")]])
+        for some in [[i if i.startswith("{") else "{" + i for i in some]]
+        for day in ("1996-01-02T00:00:00Z", "January 2, 1996")
+    ]
+    rows = spark.createDataFrame([("d", 0, i, t) for i, t in enumerate(texts)], bronze.SCHEMA)
+    found = bronze.carts(rows).orderBy("pos", "nth").select("pos", "order_id", "day", "nth", "product_id", "quantity", "has_item", "_faults").collect()
+    plain, others = ([tuple(r)[1:] for r in found if r.pos % 2 == n] for n in (0, 1))
+    assert plain == others and len(plain) == 12
+    assert [(r.product_id, r.quantity) for r in found if r.pos == 0] == [(1, 1), (2, 3), (4, None), (None, 1), (None, 5), (None, 1)]
+
+
+def test_carts_without_quantities_are_not_parsed_twice(spark):
+    rows = spark.createDataFrame([("d", 0, 0, '{"id":1,"date":"1996-01-02T00:00:00Z","products":[{"productId":1}]}')], bronze.SCHEMA)
+    plan = bronze.carts(rows)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(body" in plan
