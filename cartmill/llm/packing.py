@@ -27,8 +27,11 @@ CAPACITY = 2048
 CLOSING = 0
 #: Pieces packed together: bounds a task's memory, as a lot is a few arrays of this length.
 LOT = 200_000
-#: Distinct words whose ids a task remembers, once over: the older half goes.
-WORDS = 700_000
+#: Distinct words whose ids a task remembers, once over: the older half goes. Longer ones aren't
+#: remembered. Keeping more is no faster, as most new words are met once.
+WORDS, WORD_CHARS = 100_000, 48
+#: Rows of text that a task gets at once.
+ROWS = 1000
 #: A sequence with a larger share of free places is taken apart for the second pass.
 SHORT = 0.005
 
@@ -66,9 +69,11 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[str]) -> list[str]:
+        """Make all words known; returns those that are too long to stay."""
         if len(self.known) > WORDS:
-            self.older, self.known = self.known, {}
+            # A text with so many words that it would outgrow the bound by itself leaves none.
+            self.older, self.known = ({} if len(self.known) > 2 * WORDS else self.known), {}
         new = []
         for word in words:
             if word not in self.known:
@@ -84,6 +89,7 @@ class WordIds:
             else:
                 ids = self.whole.encode(word, add_special_tokens=False).ids
             self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return [word for word in new if len(word) > WORD_CHARS]
 
     def ids(self, text: str) -> bytes:
         text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
@@ -93,8 +99,11 @@ class WordIds:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+            long = self.learn(set(words))
+        found = b"".join(map(self.known.__getitem__, words))
+        for word in long:
+            del self.known[word]
+        return found
 
 
 def pieces(
@@ -203,7 +212,7 @@ def pack(rows: DataFrame, length: str = "length", capacity: int = CAPACITY) -> D
     """
     plain = without(rows, "sequence_id", "offset")
     (rid,) = fresh(plain, "rid")
-    numbered = keep(plain.withColumn(rid, F.monotonically_increasing_id()), "pieces")
+    numbered = keep(plain.withColumn(rid, F.monotonically_increasing_id()), "pieces", ROWS)
     sizes = numbered.select(
         F.col(rid).alias("rid"),
         F.when(F.col(f"`{length}`").between(1, capacity), F.col(f"`{length}`"))
