@@ -1,8 +1,9 @@
 """The tokens of one tokenizer set beside those of another, by the bytes they cover.
 
 Side A is a byte-level vocabulary, side B a piece vocabulary (piece_codec). Both spell a space
-and the text; each token covers a range of those bytes. For a batch of documents,
-pandas.merge_asof, keyed by document, finds for each token's start the token of the other side
+and the text; each token covers a range of those bytes. A document's words, which no token of
+either side crosses, are aligned once and remembered. For all new words of a batch of documents,
+pandas.merge_asof, keyed by word, finds for each token's start the token of the other side
 that covers it; both directions together give every overlap. Overlapping tokens that end
 together are linked, and the ends that both sides have cut a document into groups.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,11 @@ from cartmill.llm.store import process_cache, without
 CHUNK = 1 << 19
 #: Words a task remembers, once over: the older half goes. Longer ones aren't remembered.
 WORDS, WORD_CHARS = 250_000, 48
+#: A text's numbers of tokens are added up in so many bits each.
+BITS = 40
+COUNT = (1 << BITS) - 1
+#: Documents whose links are counted at once.
+ROWS = 500
 
 _UNEVEN = re.compile(r"\s\s|\s\Z")
 _WORD = re.compile(r"[ \n][^ \n]+")
@@ -48,7 +55,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevelIds:
-    """Token ids of a byte-level vocabulary, remembered by word.
+    """Token ids of a byte-level vocabulary, by word.
 
     The vocabulary's words end before a single space or line end between other characters, so a
     text's ids are those of the parts between in turn. Vocabularies with other rules are looked
@@ -73,6 +80,7 @@ class ByteLevelIds:
             and not rules.get("normalizer")
         )
         letters = byte_letters()
+        self.space = next(c for c, b in letters.items() if b == 32)
         self.bytes_of: list[bytes] = [b""] * self.tokenizer.get_vocab_size()
         special = {t["id"] for t in rules.get("added_tokens", [])}
         for token, number in self.tokenizer.get_vocab().items():
@@ -81,44 +89,34 @@ class ByteLevelIds:
         self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
         #: With a token for every byte, tokens spell any text.
         self.spells_all = {bytes([b]) for b in range(256)} <= set(self.bytes_of)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Words that their tokens don't spell, as a vocabulary may lack bytes.
         self.unspelt: set[str] = set()
 
-    def _parts(self, text: str) -> list[str]:
+    def parts(self, text: str) -> list[str]:
         if not self.in_words:
             return [text]
         # Where each white space stands alone between others, words are quick to find.
         return _CUT.split(text) if _UNEVEN.search(text) else _WORD.findall(text)
 
-    def encode(self, texts: list[str]) -> list[bytes | None]:
-        """Ids of each text, which begins with a space, as little-endian 32-bit numbers.
-
-        None for a text that its tokens don't spell, as a vocabulary may lack bytes.
-        """
-        if len(self.known) > WORDS:
-            self.older, self.known = self.known, {}
-        parts = [self._parts(t) for t in texts]
-        new = set().union(*parts).difference(self.known)
-        learnt = {w: self.older[w] for w in new & self.older.keys()}
-        learnt |= self._learn(sorted(new - learnt.keys()))
-        self.known |= {w: ids for w, ids in learnt.items() if len(w) <= WORD_CHARS}
-        look = learnt | self.known if any(len(w) > WORD_CHARS for w in learnt) else self.known
-        odd = self.unspelt
-        return [None if odd and not odd.isdisjoint(p) else b"".join(map(look.__getitem__, p)) for p in parts]
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words."""
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word as little-endian 32-bit numbers."""
         learnt = {}
         if self.in_words and self.spells_all:
-            # Words that begin and end as they would in a text are looked up as one text, and the
-            # ids dealt out by the bytes they spell.
+            # A space and letters: nothing is left but the merges.
+            merge, space = self.tokenizer.model.tokenize, self.space
+            for w in words:
+                if w[0] == " " and w.isascii() and w[1:].isalpha():
+                    found = [t.id for t in merge(space + w[1:])]
+                    learnt[w] = struct.pack(f"<{len(found)}i", *found)
+            # Other words that begin and end as they would in a text are looked up as one text, and
+            # the ids dealt out by the bytes they spell.
+            words = [w for w in words if w not in learnt]
             regular = [w for w in words if len(w) > 1 and w[0] in " \n" and not w[1].isspace() and not w[-1].isspace()]
             ids = np.array(self.tokenizer.encode("".join(regular), add_special_tokens=False).ids, "<i4")
             ends = np.cumsum([len(w.encode()) for w in regular])
             stops = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 4).tolist()
             raw = ids.tobytes()
-            learnt = {w: raw[a:b] for w, a, b in zip(regular, [0, *stops], stops)}
+            learnt |= {w: raw[a:b] for w, a, b in zip(regular, [0, *stops], stops)}
             words = [w for w in words if w not in learnt]
         for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
             learnt[word] = np.array(found.ids, "<i4").tobytes()
@@ -132,7 +130,6 @@ class Sides:
 
     def __init__(self, vocabulary: str, model: str):
         self.a, self.b = ByteLevelIds(vocabulary), loaded(model)
-        self.b.keeps = WORDS
         self.lengths = [self.a.lengths, np.array([len(x) for x in self.b.bytes_of], np.int64)]
         by_bytes: list[dict[bytes, list[int]]] = []
         for side in (self.a, self.b):
@@ -159,19 +156,51 @@ class Sides:
         }
         self.pairs = np.array(sorted(pairs), np.int64)
         a_ids, b_ids = range(len(self.a.bytes_of)), range(self.width)
+        self.known: dict[str, tuple[str, bytes, int]] = {}
+        self.older: dict[str, tuple[str, bytes, int]] = {}
         self.spelt = [f"{i}," for i in a_ids] + [f"{i}|" for i in a_ids] + [f"{i}," for i in b_ids] + [f"{i};" for i in b_ids]
 
     def align(self, texts: list[str]):
-        """For each text its numbers of A and B tokens and overlaps, its groups spelt out, and its links."""
+        """For each text its numbers of A and B tokens and overlaps, its groups spelt out, and its links.
+
+        Both sides' tokens end where a word does, so a text's groups and links are those of its
+        words in turn.
+        """
+        if len(self.known) > WORDS:
+            self.older, self.known = self.known, {}
         # Side B spells any text but one with its own sign for a space.
-        found_a, found_b = self.a.encode([" " + t for t in texts]), self.b.encode(texts)
-        good = [bool(t) and a is not None and SPACE not in t for t, a in zip(texts, found_a)]
-        ids = [[np.frombuffer(raw if ok else b"", "<i4") for raw, ok in zip(own, good)] for own in (found_a, found_b)]
-        counts = [np.array([len(x) for x in own], np.int64) for own in ids]
-        flat = [np.concatenate(own).astype(np.int64) for own in ids]
+        parts = [self._parts(" " + t) if t and SPACE not in t else [] for t in texts]
+        new = set().union(*parts).difference(self.known)
+        learnt = {w: self.older[w] for w in new & self.older.keys()}
+        learnt |= self._learn(sorted(new - learnt.keys()))
+        self.known |= {w: found for w, found in learnt.items() if len(w) <= WORD_CHARS}
+        look = learnt | self.known if any(len(w) > WORD_CHARS for w in learnt) else self.known
+        odd = self.a.unspelt
+        for words in parts:
+            if not words or odd and not odd.isdisjoint(words):
+                yield 0, 0, 0, "", b""
+                continue
+            groups, links, counts = zip(*map(look.__getitem__, words))
+            total = sum(counts)
+            yield total & COUNT, total >> BITS & COUNT, total >> 2 * BITS, "".join(groups)[:-1], b"".join(links)
+
+    def _parts(self, text: str) -> list[str]:
+        """What nothing crosses on either side."""
+        return self.a.parts(text) if self.b.in_words else [text]
+
+    def _learn(self, words: list[str]) -> dict[str, tuple[str, bytes, int]]:
+        """New words' groups, each with its closing sign, links, and counts: A tokens, B tokens and overlaps in BITS each."""
+        if not words:
+            return {}
+        of_a, of_b = self.a.encode(words), self.b.encode_parts(words)
+        raw = [[of_a[w] for w in words], of_b]
+        if odd := self.a.unspelt:
+            raw = [[b"" if w in odd else x for w, x in zip(words, own)] for own in raw]
+        counts = [np.fromiter(map(len, own), np.int64, len(words)) // 4 for own in raw]
+        flat = [np.frombuffer(b"".join(own), "<i4").astype(np.int64) for own in raw]
         ends = [np.cumsum(size[own]) for size, own in zip(self.lengths, flat)]
         tokens = [
-            pd.DataFrame({"at": end - size[own], "doc": np.repeat(np.arange(len(texts)), n), side: np.arange(len(own))})
+            pd.DataFrame({"at": end - size[own], "doc": np.repeat(np.arange(len(words)), n), side: np.arange(len(own))})
             for side, end, size, own, n in zip("ab", ends, self.lengths, flat, counts)
         ]
         covering = pd.merge_asof(tokens[0], tokens[1], on="at", by="doc")
@@ -181,19 +210,19 @@ class Sides:
         a = np.concatenate([covering["a"].to_numpy(), covered["a"].to_numpy()[more]])
         b = np.concatenate([covering["b"].to_numpy(), covered["b"].to_numpy()[more]])
         doc = np.concatenate([covering["doc"].to_numpy(), covered["doc"].to_numpy()[more]])
-        overlaps = np.bincount(doc, minlength=len(texts))
+        overlaps = np.bincount(doc, minlength=len(words))
         linked = ends[0][a] == ends[1][b]
         order = np.argsort(a[linked], kind="stable")
         a, b = a[linked][order], b[linked][order]
-        links = np.searchsorted(self.pairs, flat[0][a] * self.width + flat[1][b]).astype("<i4")
-        n_links = np.bincount(doc[linked], minlength=len(texts))
-        spelt = self._spell(flat, a, b)
-        upto = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).tolist()
-        last = np.concatenate([[0], np.cumsum(n_links)])
-        look = self.spelt.__getitem__
-        for k in range(len(texts)):
-            groups = "".join(map(look, spelt[upto[k] : upto[k + 1]].tolist()))[:-1]
-            yield len(ids[0][k]), len(ids[1][k]), int(overlaps[k]), groups, links[last[k] : last[k + 1]].tobytes()
+        links = np.searchsorted(self.pairs, flat[0][a] * self.width + flat[1][b]).astype("<i4").tobytes()
+        spelt = list(map(self.spelt.__getitem__, self._spell(flat, a, b).tolist()))
+        upto = np.cumsum(counts[0] + counts[1]).tolist()
+        last = (4 * np.cumsum(np.bincount(doc[linked], minlength=len(words)))).tolist()
+        sums = zip(counts[0].tolist(), counts[1].tolist(), overlaps.tolist())
+        return {
+            w: ("".join(spelt[i:j]), links[k:m], n_a | n_b << BITS | n << 2 * BITS)
+            for w, i, j, k, m, (n_a, n_b, n) in zip(words, [0, *upto], upto, [0, *last], last, sums)
+        }
 
     def _spell(self, flat, a, b) -> np.ndarray:
         """Places in `spelt` of all tokens, group by group, A's before B's."""
@@ -264,9 +293,9 @@ def link_counts(aligned: DataFrame, vocabulary: str | None = None, model: str |
 
         total = np.zeros(len(sides(*paths).pairs), np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                if raw.is_valid:
-                    total += np.bincount(np.frombuffer(raw.as_buffer(), "<i4"), minlength=len(total))
+            for first in range(0, batch.num_rows, ROWS):
+                links = b"".join(raw.as_py() or b"" for raw in batch.column(0).slice(first, ROWS))
+                total += np.bincount(np.frombuffer(links, "<i4"), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["link", "n"])
 

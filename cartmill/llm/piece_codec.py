@@ -159,6 +159,7 @@ class PieceModel(Pieces):
         self.reach = 2 * max(map(len, spelt))
         # Words can be cut before a space and around a line end where no piece crosses them.
         crossing = any("\n" in p and len(p) > 1 or re.search(f"[^{SPACE}]{SPACE}", p) for p in spelt)
+        self.in_words = not crossing
         self.words = re.compile("(?s).+" if crossing else r"\n| *[^ \n]+| +")
 
     def _key(self, left, right):
@@ -294,6 +295,13 @@ class PieceModel(Pieces):
         raw = ids.astype("<i4").tobytes()
         return {w: raw[a:b] for w, a, b in zip(words, [0, *stops], stops)}
 
+    def encode_parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as they are, without a space put in front, as little-endian 32-bit numbers; none are remembered."""
+        whole = {t for t in texts if self.in_words and t.rfind(" ") == 0 and len(t) > 1 and "\n" not in t}
+        parts = {t: self.words.findall(t) for t in texts if t not in whole}
+        look = self._learn(sorted(whole.union(*parts.values())))
+        return [look[t] if t in whole else b"".join(map(look.__getitem__, parts[t])) for t in texts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit numbers, without an end id; an empty text has none."""
         if len(self.known) > self.keeps:
