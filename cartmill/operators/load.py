@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from cartmill.operators.facts import last_per_key
 from cartmill.schemas import FACT_ORDERS, LOAD_ORDER, TABLES, Table
 from cartmill.schemas import Column as Spec
+from cartmill.session import shuffles_dropped
 from cartmill.sources import silver, versions
 from cartmill.sources.lake import Lake
 
@@ -358,13 +359,14 @@ def write_fact(
     )
     folders = [c.name for c in FACT_ORDERS.partition_by]
     out = good.write.mode("overwrite").option("compression", "snappy")
-    if replace or run_date is None:
-        out = out.partitionBy(*folders).option("partitionOverwriteMode", "static" if replace else "dynamic")
-        out.parquet(lake.gold(FACT_ORDERS.name))
-    else:
-        good.drop(*folders).write.mode("overwrite").option("compression", "snappy").parquet(
-            lake.load_folder(FACT_ORDERS.name, run_date, batch)
-        )
+    with shuffles_dropped(spark):
+        if replace or run_date is None:
+            out = out.partitionBy(*folders).option("partitionOverwriteMode", "static" if replace else "dynamic")
+            out.parquet(lake.gold(FACT_ORDERS.name))
+        else:
+            good.drop(*folders).write.mode("overwrite").option("compression", "snappy").parquet(
+                lake.load_folder(FACT_ORDERS.name, run_date, batch)
+            )
     found = seen.get
     lease.check(found["last"])
     follow(spark, lake, FACT_ORDERS.name)
@@ -487,7 +489,8 @@ def append_rows(rows: DataFrame, lake: Lake, name: str, run_date: date, load: in
         good, path, mode, last = accepted(rows, table), gold_folder(spark, lake, name), "append", F.max(F.lit(None).cast("bigint"))
     seen = Observation(f"rows_{name}")
     good = good.observe(seen, F.count(F.lit(1)).alias("rows"), last.alias("last"))
-    good.write.mode(mode).option("compression", "snappy").parquet(path)
+    with shuffles_dropped(spark):
+        good.write.mode(mode).option("compression", "snappy").parquet(path)
     if table is FACT_ORDERS:
         lease.check(seen.get["last"])
     bad = _write_rejects(rows, lake, table, run_date, batch)

@@ -40,6 +40,28 @@ def partial(lines: DataFrame, *groups: str) -> DataFrame:
     )
 
 
+def count_numbers(rows: DataFrame, column: str, *also: Column) -> DataFrame:
+    """One row: `also`, then lines, line_keys (the distinct whole numbers in `column`, as count_distinct finds
+    them) and null_keys.
+
+    Numbers are joined to words of 64 before they travel, so that where neighbours lie together, as line
+    keys do, a sixty-fourth of the rows is shuffled and none is sorted.
+    """
+    words = rows.groupBy(F.expr(f"shiftright({column}, 6)").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, CAST({column} & 63 AS INT)))").alias("bits"), F.count("*").alias("lines")
+    )
+
+    def total(of: Column) -> Column:
+        return F.coalesce(F.sum(of), F.lit(0).cast("bigint"))
+
+    return words.agg(
+        *also,
+        total(F.col("lines")).alias("lines"),
+        total(F.bit_count("bits")).alias("line_keys"),
+        total(F.when(F.col("word").isNull(), F.col("lines"))).alias("null_keys"),
+    )
+
+
 def merged(partials: DataFrame, *groups: str) -> DataFrame:
     """Partial results added up to coarser groups, or over loads: still one row a group and word."""
     return partials.groupBy("word", *groups).agg(

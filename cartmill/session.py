@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -48,6 +51,42 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writing: Counter[str] = Counter()
+_before: dict[str, str | None] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is written within go when it is written, as nothing reads them any more.
+
+    Else they stay until the driver happens to collect its garbage. The setting is the session's,
+    so where threads write at the same time, it holds from the first one's begin to the last one's end.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if not _writing[session]:
+            _before[session] = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _writing[session] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing[session] -= 1
+            if not _writing[session]:
+                before = _before.pop(session)
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def drop_folders(spark: SparkSession, *paths: str) -> None:
+    """Delete folders whose tables have been used up."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def at_once(*steps: Callable[[], Any]) -> list:
     """Run steps that don't need each other's results at the same time; returns their results in order.
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmill.functions import clean
-from cartmill.session import at_once
+from cartmill.session import at_once, shuffles_dropped
 from cartmill.sources import documents
 from cartmill.sources.lake import Lake
 
@@ -83,9 +83,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def land(elements: DataFrame, lake: Lake, source: str, run_date: date) -> str:
     """Store one source's elements for one run date, replacing that snapshot only."""
     path = lake.bronze(source, run_date)
-    elements.select(*FEED_ORDER, "body").write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(path)
+    with shuffles_dropped(elements.sparkSession):
+        elements.select(*FEED_ORDER, "body").write.mode("overwrite").option(
+            "compression", "snappy"
+        ).parquet(path)
     return path
 
 

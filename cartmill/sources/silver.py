@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cartmill.session import shuffles_dropped
 from cartmill.sources.bronze import FEED_ORDER
 from cartmill.sources.lake import Lake
 
@@ -42,9 +43,10 @@ def write(rows: DataFrame, lake: Lake, table: str, run_date: date) -> tuple[str,
     """
     path = lake.silver(table, run_date)
     seen = Observation(f"silver_{table}")
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(path)
+    with shuffles_dropped(rows.sparkSession):
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+            "compression", "snappy"
+        ).parquet(path)
     return path, seen.get["rows"]
 
 
